@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import license_scan
+from . import license_scan, sentencepiece_codec
 
 QUERIES = {
+    "op3_sentencepiece": sentencepiece_codec.query,
     "op7_license_scans": license_scan.query,
 }
 ORACLES: dict[str, str] = {}
