@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import license_scan, sentencepiece_codec
+from . import license_scan, sentencepiece_codec, token_counts, token_records
 
 QUERIES = {
     "op3_sentencepiece": sentencepiece_codec.query,
+    "op4_token_records": token_records.query,
     "op7_license_scans": license_scan.query,
+    "op9_token_counts": token_counts.query,
 }
 ORACLES: dict[str, str] = {}
