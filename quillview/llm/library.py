@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import license_scan, sentencepiece_codec, token_counts, token_records
+from . import license_scan, mixing, quality, sentencepiece_codec, token_counts, token_records
 
 QUERIES = {
     "op3_sentencepiece": sentencepiece_codec.query,
     "op4_token_records": token_records.query,
     "op7_license_scans": license_scan.query,
+    "op8_quality_rules": quality.query,
     "op9_token_counts": token_counts.query,
+    "op10_mixing": mixing.query,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op8_quality_rules": quality.ORACLE, "op10_mixing": mixing.ORACLE}
