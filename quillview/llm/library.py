@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import license_scan, mixing, quality, sentencepiece_codec, token_counts, token_records
+from . import html_main, license_scan, mixing, quality, sentencepiece_codec, sharding, token_counts, token_records
 
 QUERIES = {
     "op3_sentencepiece": sentencepiece_codec.query,
     "op4_token_records": token_records.query,
+    "op5_html_main": html_main.query,
+    "op6_sharding": sharding.query,
     "op7_license_scans": license_scan.query,
     "op8_quality_rules": quality.query,
     "op9_token_counts": token_counts.query,
