@@ -9,8 +9,9 @@ shorter pieces when the check fails, steps back when none is left, and marks in
 positions from which the rest of the text can't be reached.
 
 No piece of such a model holds a space mark after another character, so no merge crosses from one
-space-delimited word into the next; words are encoded once and kept in a bounded memory per worker.
-The same holds around characters that occur in no piece of several characters (line ends, say).
+space-delimited word into the next. More generally no merge crosses between two characters that
+stand next to each other in no piece; a text is cut there, and the parts are encoded once and kept
+in a bounded memory per worker.
 
 Defined results: a null text counts as empty; an empty text has no pieces, hence only the end id if
 one is asked for, and decodes to an empty text. Null ids pass through, repeated rows give repeated
@@ -22,7 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -31,8 +32,10 @@ from pyspark.sql import functions as F
 from . import common
 
 MARK = "▁"
-#: Distinct words that one worker keeps; beyond it the memory is emptied and filled anew.
-KEEP_WORDS = 300_000
+#: Distinct words, and parts of words, in each of the two generations that one worker keeps.
+KEEP_WORDS, KEEP_PARTS = 400_000, 400_000
+#: Longer words are encoded each time, so that the memory stays bounded in bytes too.
+LONGEST_KEPT = 64
 
 
 class MergeCodec:
@@ -72,11 +75,10 @@ class MergeCodec:
             if len(piece) > 1:
                 self.automaton.add_word(piece, len(piece))
         self.automaton.make_automaton()
-        inside = {c for p in self.ids if len(p) > 1 for c in p}
-        #: Line ends that no longer piece holds: texts can be cut around them.
-        self.cuts = [c for c in "\n\t" if c not in inside]
-        self.cut = re.compile("([" + "".join(map(re.escape, self.cuts)) + "])") if self.cuts else None
+        #: Neighbours inside some piece; a text can be cut between all others.
+        self.joined = {p[k : k + 2] for p in self.ids for k in range(len(p) - 1)}
         self.whole: dict[str, bool] = {}
+        self.prefix: dict[str, str] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
 
     def merge(self, text: str) -> list[str]:
@@ -109,42 +111,57 @@ class MergeCodec:
             ok = self.pairs[left, right] = self.merge(left + right) == [left, right]
         return ok
 
+    def longest(self, text: str, at: int) -> str:
+        """The longest piece that starts at a position; a character that starts none stands for itself."""
+        for end, length in self.automaton.iter_long(text, at):
+            if end - length + 1 == at:
+                return text[at : end + 1]
+            break
+        return text[at]
+
+    def shorter(self, piece: str) -> str | None:
+        """The longest piece that the piece begins with, down to its first character."""
+        found = self.prefix.get(piece)
+        if found is None:
+            ids = self.ids
+            found = next((piece[:k] for k in range(len(piece) - 1, 1, -1) if piece[:k] in ids), piece[:1] if len(piece) > 1 else "")
+            self.prefix[piece] = found
+        return found or None
+
     def split(self, text: str) -> list[str]:
         """The pieces of a text that is already marked (spaces replaced)."""
         n = len(text)
         if n < 2:
             return [text] if n else []
-        starts: list[list[int]] = [[] for _ in range(n)]
-        for end, length in self.automaton.iter(text):
-            starts[end - length + 1].append(length)  # ends ascend, so the longest comes last
-        reachable = (1 << (n + 1)) - 1
+        failed = bytearray((n >> 3) + 1)
+        whole, pairs, prefix = self.whole, self.pairs, self.prefix
         out: list[str] = []
-        choice: list[int] = []  # for each piece taken, how many shorter ones are left to try
-        at, left = 0, len(starts[0])
-        while at < n:
-            found, last = starts[at], out[-1] if out else None
-            while left >= 0:
-                length = found[left - 1] if left else 1  # the character itself comes last
-                piece = text[at : at + length]
-                if (
-                    reachable >> (at + length) & 1
-                    and (length == 1 or self.is_whole(piece))
-                    and (last is None or self.fits(last, piece))
-                ):
-                    break
-                left -= 1
-            if left >= 0:
+        at, last = 0, None
+        piece: str | None = self.longest(text, 0)
+        while True:
+            while piece is not None:
+                end = at + len(piece)
+                if not failed[end >> 3] >> (end & 7) & 1 and (whole.get(piece) or self.is_whole(piece)):
+                    if last is None:
+                        break
+                    ok = pairs.get((last, piece))
+                    if ok or ok is None and self.fits(last, piece):
+                        break
+                piece = prefix.get(piece) or self.shorter(piece)
+            if piece is not None:
                 out.append(piece)
-                choice.append(left)
-                at += length
-                left = len(starts[at]) if at < n else 0
+                at, last = end, piece
+                if at == n:
+                    return out
+                piece = self.longest(text, at)
             else:
                 if not out:
                     raise AssertionError("no sequence of pieces fits the text")
-                reachable &= ~(1 << at)
-                at -= len(out.pop())
-                left = choice.pop()
-        return out
+                failed[at >> 3] |= 1 << (at & 7)
+                piece = out.pop()
+                at -= len(piece)
+                last = out[-1] if out else None
+                piece = self.shorter(piece)
 
     def encode_marked(self, text: str) -> list[int]:
         out: list[int] = []
@@ -175,9 +192,11 @@ class MergeCodec:
         return found
 
     def cut_up(self, marked: str) -> list[str]:
-        if not self.cut:
+        joined = self.joined
+        cuts = [k for k in range(1, len(marked)) if marked[k - 1 : k + 1] not in joined]
+        if not cuts:
             return [marked]
-        return [x for x in self.cut.split(marked) if x]
+        return [marked[i:k] for i, k in zip([0, *cuts], [*cuts, len(marked)], strict=True)]
 
     def decode(self, ids: Iterable[int]) -> str:
         """Text of the ids: control ids are silent, byte ids join into UTF-8, one leading space goes."""
@@ -201,33 +220,47 @@ class MergeCodec:
         return "".join(out).replace(MARK, " ")
 
 
-class WordMemory(dict):
-    """word -> (ids as text, number of ids, decoded text); bounded, filled by the codec."""
+Known = tuple[str, int, str]  # ids as text, number of ids, decoded text
 
-    def __init__(self, codec: MergeCodec) -> None:
+
+class Memory(dict):
+    """Bounded memory of two generations: when the young one is full it replaces the old one, and
+    what is still in use comes back from there. ``make`` computes what neither holds."""
+
+    def __init__(self, make: Callable[[str], Known], size: int) -> None:
         super().__init__()
+        self.make, self.size = make, size
+        self.old: dict[str, Known] = {}
+
+    def __missing__(self, key: str) -> Known:
+        found = self.old.get(key)
+        if found is None:
+            found = self.make(key)
+        if len(key) <= LONGEST_KEPT:
+            if len(self) >= self.size:
+                self.old = dict(self)
+                self.clear()
+            self[key] = found
+        return found
+
+
+class WordMemory(Memory):
+    """Words without their space mark, put together from the parts that no merge crosses."""
+
+    def __init__(self, codec: MergeCodec) -> None:
+        super().__init__(self.compose, KEEP_WORDS)
         self.codec = codec
-        self.bare: dict[str, tuple[str, int, str]] = {}  # parts that no space precedes
+        self.parts = Memory(self.encode_part, KEEP_PARTS)
 
-    def _make(self, marked: str) -> tuple[str, int, str]:
-        ids = self.codec.encode_marked(marked)
+    def encode_part(self, part: str) -> Known:
+        ids = self.codec.encode_marked(part)
         return " ".join(map(str, ids)), len(ids), self.codec.join(ids)
 
-    def __missing__(self, word: str) -> tuple[str, int, str]:
-        parts = self.codec.cut_up(MARK + word)
-        if len(parts) == 1:
-            if len(self) >= KEEP_WORDS:
-                self.clear()
-            made = self[word] = self._make(parts[0])
-            return made
-        found = [self[parts[0][1:]]]
-        for part in parts[1:]:
-            if part not in self.bare:
-                if len(self.bare) >= KEEP_WORDS // 4:
-                    self.bare.clear()
-                self.bare[part] = self._make(part)
-            found.append(self.bare[part])
-        return " ".join(f[0] for f in found), sum(f[1] for f in found), "".join(f[2] for f in found)
+    def compose(self, word: str) -> Known:
+        found = [self.parts[p] for p in self.codec.cut_up(MARK + word)]
+        if len(found) == 1:
+            return found[0]
+        return " ".join([f[0] for f in found]), sum([f[1] for f in found]), "".join([f[2] for f in found])
 
 
 _memories: dict[str, WordMemory] = {}
