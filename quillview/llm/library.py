@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import html_main, license_scan, minhash, mixing, quality, sentencepiece_codec, sharding, token_counts, token_records
+from . import ann, html_main, license_scan, minhash, mixing, quality, sentencepiece_codec, sharding, token_counts, token_records
 
 QUERIES = {
+    "op1_ann": ann.query,
     "op2_minhash": minhash.query,
     "op3_sentencepiece": sentencepiece_codec.query,
     "op4_token_records": token_records.query,

@@ -35,7 +35,7 @@ from fractions import Fraction
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -140,7 +140,7 @@ def _sketch(docs: DataFrame, id_column: str, text_column: str, size: int) -> Dat
     hashes = WordHashes()
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = [shingles(t or b"", size, hashes) for t in common.utf8(batch.column(1))]
+        sets = [shingles(t or b"", size, hashes) for t in common.utf8(batch.column(2))]
         full = [k for k, s in enumerate(sets) if len(s)]
         found = minima([sets[k] for k in full])
         bands, packed = bands_of(found).view(np.int64), signature(found).view(np.int64)
@@ -150,17 +150,19 @@ def _sketch(docs: DataFrame, id_column: str, text_column: str, size: int) -> Dat
         return pa.RecordBatch.from_arrays(
             [
                 batch.column(0),
+                batch.column(1),
                 pa.array(list(map(len, sets)), pa.int64()),
                 pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
                 pa.array(lists, pa.list_(pa.int64())),
                 *(pa.array(lane).take(index) for lane in packed),
             ],
-            names=["id", "n", "set", "bands", *(f"s{k}" for k in range(LANES))],
+            names=["id", "text_hash", "n", "set", "bands", *(f"s{k}" for k in range(LANES))],
         )
 
     lanes = ", ".join(f"s{k} long" for k in range(LANES))
-    rows = docs.select(docs[id_column].cast("long").alias("id"), docs[text_column].cast("string").alias("text"))
-    return common.map_rows(rows, one, f"id long, n long, set binary, bands array<long>, {lanes}")
+    text = docs[text_column].cast("string")
+    rows = docs.select(docs[id_column].cast("long").alias("id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_hash"), text.alias("text"))
+    return common.map_rows(rows, one, f"id long, text_hash long, n long, set binary, bands array<long>, {lanes}")
 
 
 def _disagree(left: str, right: str) -> Column:
@@ -311,15 +313,20 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 def drop_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", size: int = 5, threshold: float = 0.8) -> DataFrame:
     """The rows of ``docs``, one of each component; rows without an id or without words all stay.
 
-    Of rows that are alike in id and set one stays.
+    Of rows that are alike in id and text one stays.
     """
     rows, labels = _labelled(docs, id_column, text_column, size, threshold)
-    keep = rows.select("id", "set").filter("set IS NOT NULL AND id IS NOT NULL").distinct().join(labels, "set").filter("id = component_id AND set = first_set").select(F.col("id").alias("__id"), F.lit(True).alias("__keep"))
-    base = docs.withColumn("__id", docs[id_column].cast("long"))
-    has_words = F.length(F.translate(common.text_or_empty(docs, text_column), " \t\n\x0b\x0c\r", "")) > 0
-    joined = base.withColumn("__words", has_words).join(keep, "__id", "left")
-    stays = F.col("__id").isNull() | ~F.col("__words") | F.coalesce("__keep", F.lit(False))
-    return joined.filter(stays).select(*[joined[c] for c in docs.columns])
+    first = rows.filter("set IS NOT NULL AND id IS NOT NULL").join(labels, "set").filter("id = component_id AND set = first_set")
+    # Other texts can have the first one's set (other case, other white space): one text of them stays.
+    keep = first.groupBy("id").agg(F.min("text_hash").alias("text_hash"))
+    text = common.text_or_empty(docs, text_column)
+    plain = F.length(F.translate(text, " \t\n\x0b\x0c\r", "")) == 0
+    base = docs.withColumn("__id", docs[id_column].cast("long")).withColumn("__hash", F.xxhash64(text))
+    exempt = F.col("__id").isNull() | plain
+    chosen = base.filter(~exempt).join(keep.select(F.col("id").alias("__id"), F.col("text_hash").alias("__hash")), ["__id", "__hash"], "left_semi")
+    alike = Window.partitionBy("__id", "__hash").orderBy(F.lit(1))
+    once = chosen.withColumn("__at", F.row_number().over(alike)).filter("__at = 1")
+    return once.select(*docs.columns).unionByName(base.filter(exempt).select(*docs.columns))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,6 +25,7 @@ import hashlib
 import re
 from collections.abc import Callable, Iterable
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -284,18 +285,17 @@ def encode_texts(
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
         known = memory(model_path)
-        tail = [known.codec.end_id] if add_end else []
-        ids, counts, texts = [], [], []
+        tail = [str(known.codec.end_id)] if add_end else []
+        ids, ends, texts = [], [0], []
         for text in batch.column(batch.num_columns - 1).to_pylist():
-            found = [known[w] for w in MergeCodec.words(text)] if text else []
-            row = [int(i) for f in found for i in f[0].split(" ")] + tail
+            found = list(map(known.__getitem__, MergeCodec.words(text))) if text else []
+            row = np.fromstring(" ".join([f[0] for f in found] + tail), np.int32, sep=" ")
             ids.append(row)
-            counts.append(len(row))
+            ends.append(ends[-1] + len(row))
             texts.append("".join([f[2] for f in found])[1:])
-        return pa.RecordBatch.from_arrays(
-            [*batch.columns[:-1], pa.array(ids, pa.list_(pa.int32())), pa.array(counts, pa.int64()), pa.array(texts, pa.string())],
-            names=[*carry, "ids", "n_tokens", "decoded"],
-        )
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids), pa.int32()))
+        counts = pa.array(np.diff(ends), pa.int64())
+        return pa.RecordBatch.from_arrays([*batch.columns[:-1], lists, counts, pa.array(texts, pa.string())], names=[*carry, "ids", "n_tokens", "decoded"])
 
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
     return common.map_rows(docs.select(*carry, docs[text_column].cast("string").alias("__text")), one, f"{kinds}, ids array<int>, n_tokens long, decoded string")
