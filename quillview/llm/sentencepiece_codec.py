@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -31,12 +31,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
+from .pretokens import Memory
 
 MARK = "▁"
 #: Distinct words, and parts of words, in each of the two generations that one worker keeps.
 KEEP_WORDS, KEEP_PARTS = 400_000, 400_000
-#: Longer words are encoded each time, so that the memory stays bounded in bytes too.
-LONGEST_KEPT = 64
 
 
 class MergeCodec:
@@ -224,27 +223,6 @@ class MergeCodec:
 Known = tuple[str, int, str]  # ids as text, number of ids, decoded text
 
 
-class Memory(dict):
-    """Bounded memory of two generations: when the young one is full it replaces the old one, and
-    what is still in use comes back from there. ``make`` computes what neither holds."""
-
-    def __init__(self, make: Callable[[str], Known], size: int) -> None:
-        super().__init__()
-        self.make, self.size = make, size
-        self.old: dict[str, Known] = {}
-
-    def __missing__(self, key: str) -> Known:
-        found = self.old.get(key)
-        if found is None:
-            found = self.make(key)
-        if len(key) <= LONGEST_KEPT:
-            if len(self) >= self.size:
-                self.old = dict(self)
-                self.clear()
-            self[key] = found
-        return found
-
-
 class WordMemory(Memory):
     """Words without their space mark, put together from the parts that no merge crosses."""
 

@@ -22,8 +22,10 @@ in memory whole; beyond that, memory is bounded by one Arrow batch when writing
 from __future__ import annotations
 
 import struct
+import sys
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,8 +38,8 @@ from . import common, pretokens
 
 # The mask of the public record format.
 MASK_DELTA = 0xA282EAD8
-#: Distinct words whose ids one worker keeps; beyond it the memory is emptied and filled anew.
-KEEP_WORDS = 600_000
+#: Distinct words whose ids one worker keeps, in each of two generations.
+KEEP_WORDS = 400_000
 MANIFEST = "shard int, path string, n_records long, n_ids long, n_bytes long"
 
 
@@ -82,21 +84,22 @@ def open_fs(path: str):
     return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
 
 
-class WordIds(dict):
-    """word -> its ids as bytes; bounded."""
+def word_ids(path: str, code: str) -> pretokens.Memory:
+    """word -> its ids as little-endian bytes, one memory per worker process and tokenizer."""
+    if (path, code) not in _memories:
+        ids = pretokens.load(path).ids
 
-    def __init__(self, path: str, kind: str) -> None:
-        super().__init__()
-        self.pieces, self.kind = pretokens.load(path), kind
+        def make(word: str) -> bytes:
+            found = array(code, ids(word))
+            if sys.byteorder == "big":
+                found.byteswap()
+            return found.tobytes()
 
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= KEEP_WORDS:
-            self.clear()
-        made = self[word] = np.asarray(self.pieces.ids(word), self.kind).tobytes()
-        return made
+        _memories[path, code] = pretokens.Memory(make, KEEP_WORDS)
+    return _memories[path, code]
 
 
-_memories: dict[tuple[str, str], WordIds] = {}
+_memories: dict[tuple[str, str], pretokens.Memory] = {}
 
 
 def write_records(
@@ -120,9 +123,9 @@ def write_records(
         if first is None:
             return
         pieces = pretokens.load(tokenizer_path)
-        kind = "<u2" if max(pieces.size, end_id) < 1 << 16 else "<u4"
-        known = _memories.setdefault((tokenizer_path, kind), WordIds(tokenizer_path, kind))
-        cut, end, width = pieces.pretokens, np.asarray([end_id], kind).tobytes(), int(kind[2])
+        width = 2 if max(pieces.size, end_id) < 1 << 16 else 4
+        known = word_ids(tokenizer_path, "H" if width == 2 else "I")
+        cut, end = pieces.pretokens, end_id.to_bytes(width, "little")
         shard = TaskContext.get().partitionId()
         fs, base = open_fs(folder)
         name = f"{base}/shard-{shard:06d}-{uuid.uuid4().hex}"
