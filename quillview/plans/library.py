@@ -1 +1,3 @@
 """Imports every module that registers queries."""
+
+from quillview.plans import catalogs, documents  # noqa: F401
