@@ -95,7 +95,7 @@ def read(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
     from pyspark.sql.pandas.types import to_arrow_schema
 
     ddl = ", ".join(f"`{n}` {k}" for n, k in columns.items())
-    schema = to_arrow_schema(_parse_datatype_string(ddl), timezone="UTC")
+    schema = to_arrow_schema(_parse_datatype_string(ddl))
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
