@@ -10,10 +10,13 @@ Hot groups never become all of their pairs:
 
 * documents with equal sets are one class, represented once;
 * in a bucket of a band every class is paired with the bucket's smallest only (a star);
-* a bucket whose classes are not in one component afterwards is looked at again: there each class is
-  compared, on signatures alone and in blocks, with classes of other components, and the most
-  similar of each are confirmed; then, for what is still apart, every remaining pair that the
-  signatures allow. So a pair in one bucket that could link two components is never left untested.
+* a bucket whose classes are not in one component afterwards is looked at again: in blocks, every two
+  of its classes from different components are compared on signatures, inside the task, and a
+  spanning forest of the pairs that signatures allow comes out: as many rows as classes at most;
+* the trees of these forests are clusters; in blocks again, every two classes of a cluster from
+  different components are compared on their full sets, as bit rows over the cluster's shared
+  shingles, inside the task, and only links that join two components come out. So a pair in one
+  bucket that could link two components is never left untested, and no list of pairs is made.
 
 Links are between classes; components follow by rounds of joins. With 32 bands of 4 rows a pair at the
 threshold of 0.8 shares no bucket with a probability of 5e-8, and a signature of 128 minima puts it
@@ -47,9 +50,9 @@ CHANCE = 0.5**BITS
 #: Signatures pack 32 two-bit minima into each of these words.
 LANES = MINIMA * BITS // 64
 #: Classes of one block in the comparison of a bucket that is not in one component.
-BLOCK = 512
-#: Partners that each class of such a bucket is confirmed against first, the most similar ones.
-FIRST = 3
+BLOCK = 1024
+#: Bytes of bit rows that a task compares at a time.
+BIT_BYTES = 64 << 20
 SLACK = 0.2
 
 _rng = np.random.default_rng(20240611)
@@ -192,21 +195,8 @@ def _promising(pairs: DataFrame, classes: DataFrame, share: Fraction) -> DataFra
 
 def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_column: str, text_column: str, size: int, share: Fraction) -> DataFrame:
     """Of pairs (a, b) those whose full sets are similar enough."""
-    hashes = WordHashes()
-    needed = pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b"))).distinct().join(classes.select("cid", "id", "set"), "cid")
-    texts = docs.select(docs[id_column].cast("long").alias("id"), docs[text_column].cast("string").alias("text")).join(needed, "id")
-
-    def members(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids, sets = [], []
-        for cid, want, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), common.utf8(batch.column(2)), strict=True):
-            found = shingles(text or b"", size, hashes)
-            if xxhash.xxh3_128_digest(found.tobytes()) == want:  # not another text under the same id
-                ids.append(cid)
-                sets.append(found.tobytes())
-        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], names=["cid", "members"])
-
-    sets = common.map_rows(texts.select("cid", "set", "text"), members, "cid long, members binary").dropDuplicates(["cid"])
-    sets = common.materialize(sets, "sets")
+    needed = pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b"))).distinct()
+    sets = _class_sets(needed, classes, docs, id_column, text_column, size)
 
     def similar(batch: pa.RecordBatch) -> pa.RecordBatch:
         keep = []
@@ -220,39 +210,144 @@ def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_column: s
     return common.materialize(common.map_rows(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y"), similar, "a long, b long"), "links")
 
 
-def _across(members: DataFrame, first: int | None, threshold: float) -> DataFrame:
-    """Pairs of classes of one bucket but different components that the signatures allow.
+def _disagreement(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Disagreeing minima of one signature with many; lanes come first."""
+    total = np.zeros(right.shape[1], np.int64)
+    for x, y in zip(left, right, strict=True):
+        d = x ^ y
+        total += np.bitwise_count((d | (d >> np.uint64(1))) & np.uint64(0x5555555555555555))
+    return total
 
-    ``members``: key, cid, root, size of the bucket, signature. Buckets are cut into blocks and every two
-    blocks of a bucket meet in a task of their own. ``first``: only the most similar of each class.
+
+def _in_blocks(members: DataFrame, key: str) -> DataFrame:
+    """A row per class and block that its own block meets: ``key, lo, hi, block`` and the other columns.
+
+    ``size`` is the number of classes of the key. Every two blocks meet in a task of their own.
     """
-    limit = most_disagreeing(threshold)
-    lanes = [f"s{k}" for k in range(LANES)]
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     placed = members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.hash("cid"), F.col("blocks")))
     met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    met = met.withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other"))
+    return met.withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other")).drop("blocks", "other", "size")
+
+
+def _block_arrays(rows: pa.Table) -> tuple[np.ndarray, ...]:
+    cid, root, n = (rows.column(c).to_numpy() for c in ("cid", "root", "n"))
+    sig = np.stack([rows.column(f"s{k}").to_numpy().astype(np.int64).view(np.uint64) for k in range(LANES)])
+    block = rows.column("block").to_numpy()
+    left, right = np.flatnonzero(block == rows.column("lo")[0].as_py()), np.flatnonzero(block == rows.column("hi")[0].as_py())
+    return cid, root, n, sig, left, right
+
+
+def _pairs_table(found: list[tuple[int, int]]) -> pa.Table:
+    a, b = zip(*found, strict=True) if found else ((), ())
+    return pa.Table.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def _forests(members: DataFrame, share: Fraction) -> DataFrame:
+    """Per bucket, trees of classes that signatures allow to be linked across components.
+
+    ``members``: key, cid, root, n, size of the bucket, signature.
+    """
+    limit = most_disagreeing(float(share))
+    num, den = share.numerator, share.denominator
 
     def compare(rows: pa.Table) -> pa.Table:
-        cid, root, block = (rows.column(c).to_numpy() for c in ("cid", "root", "block"))
-        lo, hi = rows.column("lo")[0].as_py(), rows.column("hi")[0].as_py()
-        sig = np.stack([rows.column(c).to_numpy().astype(np.int64).view(np.uint64) for c in lanes])
-        left = np.flatnonzero(block == lo)
-        right = np.flatnonzero(block == hi)
-        out: set[tuple[int, int]] = set()
+        cid, root, n, sig, left, right = _block_arrays(rows)
+        tree = np.arange(len(cid))
+        out: list[tuple[int, int]] = []
         for i in left.tolist():
-            apart = np.zeros(len(right), np.int64)
-            for lane in sig:
-                x = lane[i] ^ lane[right]
-                apart += np.bitwise_count((x | (x >> np.uint64(1))) & np.uint64(0x5555555555555555))
-            ok = np.flatnonzero((apart <= limit) & (root[right] != root[i]))
-            if first is not None and len(ok) > first:
-                ok = ok[np.argsort(apart[ok], kind="stable")[:first]]
-            out.update((min(cid[i], cid[j]), max(cid[i], cid[j])) for j in right[ok].tolist())
-        a, b = zip(*sorted(out), strict=True) if out else ((), ())
-        return pa.Table.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            open_ = right[(root[right] != root[i]) & (tree[right] != tree[i])]
+            if not len(open_):
+                continue
+            ok = open_[_disagreement(sig[:, i], sig[:, open_]) <= limit]
+            ok = ok[den * np.minimum(n[ok], n[i]) >= num * np.maximum(n[ok], n[i])]
+            trees, first = np.unique(tree[ok], return_index=True)
+            out += [(int(cid[i]), int(cid[j])) for j in ok[first].tolist()]
+            if len(trees):
+                tree[np.isin(tree, trees)] = tree[i]
+        return _pairs_table(out)
+
+    lanes = [f"s{k}" for k in range(LANES)]
+    return _in_blocks(members, "key").select("key", "lo", "hi", "block", "cid", "root", "n", *lanes).groupBy("key", "lo", "hi").applyInArrow(compare, "a long, b long").distinct()
+
+
+def _shared(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, int]:
+    """(row, column) of every shingle that two sets or more hold, and the number of columns."""
+    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sets)), sizes)
+    kept = count[column] > 1
+    names, column = np.unique(column[kept], return_inverse=True)
+    return row[kept], column, len(names)
+
 
-    return met.select("key", "lo", "hi", "block", "cid", "root", *lanes).groupBy("key", "lo", "hi").applyInArrow(compare, "a long, b long").distinct()
+def _cluster_links(members: DataFrame, share: Fraction) -> DataFrame:
+    """Links, confirmed on full sets, that join two components of a cluster.
+
+    ``members``: cluster, cid, root, n, size of the cluster, signature, members (the set's bytes).
+    """
+    limit = most_disagreeing(float(share))
+    num, den = share.numerator, share.denominator
+
+    def compare(rows: pa.Table) -> pa.Table:
+        cid, root, n, sig, left, right = _block_arrays(rows)
+        open_ = np.zeros((len(left), len(right)), bool)
+        for k, i in enumerate(left.tolist()):
+            fits = (root[right] != root[i]) & (den * np.minimum(n[right], n[i]) >= num * np.maximum(n[right], n[i]))
+            some = np.flatnonzero(fits)
+            open_[k, some] = _disagreement(sig[:, i], sig[:, right[some]]) <= limit
+        # Only classes with a partner take part from here on.
+        keep_left, keep_right = np.flatnonzero(open_.any(1)), np.flatnonzero(open_.any(0))
+        if not len(keep_left):
+            return _pairs_table([])
+        open_, left, right = open_[np.ix_(keep_left, keep_right)], left[keep_left], right[keep_right]
+        used = np.unique(np.concatenate([left, right]))
+        raw = rows.column("members")
+        row, column, width = _shared([np.frombuffer(raw[int(k)].as_py(), np.uint64) for k in used])
+        left_at, right_at = np.searchsorted(used, left), np.searchsorted(used, right)
+        both = np.zeros(open_.shape, np.int64)
+        step = max(64, BIT_BYTES // max(1, len(used)) * 8 // 64 * 64)
+        for lo in range(0, width, step):
+            part = (column >= lo) & (column < lo + step)
+            bits = np.zeros((len(used), -(-min(step, width - lo) // 64)), np.uint64)
+            at = column[part] - lo
+            np.bitwise_or.at(bits, (row[part], at >> 6), np.uint64(1) << (at & 63).astype(np.uint64))
+            for k, i in enumerate(left_at.tolist()):
+                js = np.flatnonzero(open_[k])
+                both[k, js] += np.bitwise_count(bits[right_at[js]] & bits[i]).sum(1, dtype=np.int64)
+        linked = open_ & (den * both >= num * (n[left][:, None] + n[right][None, :] - both))
+        label = root.copy()
+        out: list[tuple[int, int]] = []
+        for k, i in enumerate(left.tolist()):
+            js = right[np.flatnonzero(linked[k])]
+            js = js[label[js] != label[i]]
+            labels, first = np.unique(label[js], return_index=True)
+            out += [(int(cid[i]), int(cid[j])) for j in js[first].tolist()]
+            if len(labels):
+                label[np.isin(label, labels)] = label[i]
+        return _pairs_table(out)
+
+    lanes = [f"s{k}" for k in range(LANES)]
+    return _in_blocks(members, "cluster").select("cluster", "lo", "hi", "block", "cid", "root", "n", *lanes, "members").groupBy("cluster", "lo", "hi").applyInArrow(compare, "a long, b long")
+
+
+def _class_sets(needed: DataFrame, classes: DataFrame, docs: DataFrame, id_column: str, text_column: str, size: int) -> DataFrame:
+    """``cid`` and ``members`` (the set's bytes) of the classes in ``needed`` (cid, distinct)."""
+    hashes = WordHashes()
+    wanted = needed.join(classes.select("cid", "id", "set"), "cid")
+    texts = docs.select(docs[id_column].cast("long").alias("id"), docs[text_column].cast("string").alias("text")).join(wanted, "id")
+
+    def members(batch: pa.RecordBatch) -> pa.RecordBatch:
+        ids, sets = [], []
+        for cid, want, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), common.utf8(batch.column(2)), strict=True):
+            found = shingles(text or b"", size, hashes)
+            if xxhash.xxh3_128_digest(found.tobytes()) == want:  # not another text under the same id
+                ids.append(cid)
+                sets.append(found.tobytes())
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], names=["cid", "members"])
+
+    sets = common.map_rows(texts.select("cid", "set", "text"), members, "cid long, members binary").dropDuplicates(["cid"])
+    return common.materialize(sets, "sets")
 
 
 def _classes(docs: DataFrame, id_column: str, text_column: str, size: int) -> tuple[DataFrame, DataFrame]:
@@ -268,24 +363,31 @@ def link_classes(docs: DataFrame, classes: DataFrame, id_column: str, text_colum
     buckets = entries.groupBy("key").agg(F.min("cid").alias("lead"), F.count(F.lit(1)).alias("size")).filter("size > 1")
     met = common.materialize(entries.join(buckets, "key"), "buckets")
     star = met.filter("cid <> lead").select(F.col("lead").alias("a"), F.col("cid").alias("b")).distinct()
-    tested = common.materialize(_promising(star, classes, share), "candidates")
-    links = _confirm(tested, classes, docs, id_column, text_column, size, share)
-    wide = met.filter("size > 2").select("key", "cid", "size")
-    for first in (FIRST, None):
-        labels = components(links)
-        lanes = [f"s{k}" for k in range(LANES)]
-        placed = wide.join(labels.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
-        split = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
-        members = placed.join(split, "key").join(classes.select("cid", *lanes), "cid")
-        more = _across(members, first, float(share)).join(tested, ["a", "b"], "left_anti")
-        fresh = common.materialize(_promising(more, classes, share), "candidates")
-        if fresh.limit(1).count() == 0:
-            if first is None:
-                break
-            continue
-        tested = tested.union(fresh)
-        links = links.union(_confirm(fresh, classes, docs, id_column, text_column, size, share))
-    return components(links).select(F.col("node").alias("cid"), "root")
+    near = common.materialize(_promising(star, classes, share), "candidates")
+    links = _confirm(near, classes, docs, id_column, text_column, size, share)
+    labels = components(links).withColumnRenamed("node", "cid")
+    more = _complete(met, classes, labels, docs, id_column, text_column, size, share)
+    if more is not None:
+        labels = components(links.union(more)).withColumnRenamed("node", "cid")
+    return labels
+
+
+def _complete(
+    met: DataFrame, classes: DataFrame, labels: DataFrame, docs: DataFrame, id_column: str, text_column: str, size: int, share: Fraction
+) -> DataFrame | None:
+    """Links that the stars did not test, of buckets whose classes are in several components."""
+    lanes = [f"s{k}" for k in range(LANES)]
+    placed = met.filter("size > 2").select("key", "cid", "size").join(labels, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    split = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
+    members = placed.join(split, "key").join(classes.select("cid", "n", *lanes), "cid")
+    trees = common.materialize(_forests(members, share), "forests")
+    if trees.limit(1).count() == 0:
+        return None
+    clusters = components(trees).select(F.col("node").alias("cid"), F.col("root").alias("cluster"))
+    sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
+    sets = _class_sets(clusters.select("cid"), classes, docs, id_column, text_column, size)
+    full = clusters.join(sizes, "cluster").join(labels, "cid", "left").withColumn("root", F.coalesce("root", "cid")).join(classes.select("cid", "n", *lanes), "cid").join(sets, "cid")
+    return common.materialize(_cluster_links(full, share), "links")
 
 
 def _labelled(docs: DataFrame, id_column: str, text_column: str, size: int, threshold: float) -> tuple[DataFrame, DataFrame]:
