@@ -8,9 +8,9 @@ a document that keeps too few words, or too small a part of its words, is reject
 count as one text: copying a page does not make its lines boilerplate, near-duplicate removal deals
 with copies.
 
-Only DataFrame functions. Lines are made distinct within their document, and counted with partial
-aggregation before the shuffle, so a line that every document has costs one row per task. Only lines
-above the limit are joined back, on (host, line), a join that adaptive execution can split.
+Only DataFrame functions. Lines are hashed before any shuffle and counted with partial aggregation;
+texts are never shuffled to judge them. Only lines above the limit are joined back, on (host, line), a
+join that adaptive execution can split.
 
 Defined results: a null or empty text has no words and no lines; all counts are 0, ``base_failed`` is
 true. A null host is a host of its own. Null ids pass through. Repeated rows give repeated results,
@@ -33,90 +33,98 @@ LEAST_WORDS = 20
 MOST_REPEATED = 30  # per cent
 
 
-def materialized(df: DataFrame, **columns: Column) -> DataFrame:
+def materialized(df: DataFrame, keep: list[str], **columns: Column) -> DataFrame:
     """Compute expressions once per row: a generator is a step that the optimizer doesn't fold away."""
     fields = F.struct(*[c.alias(name) for name, c in columns.items()])
-    return df.select("*", F.inline(F.array(fields)))
+    return df.select(*keep, F.inline(F.array(fields)))
 
 
 def words_of(text: Column) -> Column:
     return F.array_remove(F.split(text, "[ \\t-\\r]+"), "")
 
 
-def base_counts(docs: DataFrame, text: Column) -> DataFrame:
-    """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and their lines."""
-    plain = docs.withColumn("__text", text)
+def lines_of(text: Column) -> Column:
+    """Lines with a word."""
+    return F.filter(F.split(text, "\n"), lambda x: F.rlike(x, F.lit("[^ \\t-\\r]")))
+
+
+def base_counts(docs: DataFrame, text: Column, keep: list[str]) -> DataFrame:
+    """``keep`` and n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
+    lines = lines_of(text)
     got = materialized(
-        plain,
-        __words=words_of(F.col("__text")),
-        __lines=F.filter(F.split("__text", "\n"), lambda x: F.length(F.translate(x, SPACES, "")) > 0),
+        docs, keep, __words=words_of(text), n_symbols=F.regexp_count(text, F.lit("[" + SYMBOLS + "]")).cast("long"), n_dup_lines=(F.size(lines) - F.size(F.array_distinct(lines))).cast("long")
     )
     n = F.size("__words")
-    windows = F.when(n < WINDOW, F.array().cast("array<bigint>")).otherwise(
-        F.transform(F.sequence(F.lit(1), n - (WINDOW - 1)), lambda i: F.xxhash64(F.slice("__words", i, WINDOW)))
-    )
-    hashed = materialized(got.withColumn("n_words", n.cast("long")), __windows=windows).drop("__words")
+    counted = [*keep, "n_symbols", "n_dup_lines"]
+    hashed = materialized(got, counted, n_words=n.cast("long"), word_chars=F.length(F.array_join("__words", "")).cast("long"), __one=F.transform("__words", lambda w: F.xxhash64(w)))
+    counted += ["n_words", "word_chars"]
+
+    # Items are fetched one by one: a slice would copy the whole array for each run.
+    four = F.transform(F.sequence(F.lit(0), F.size("__one") - 4), lambda i: F.xxhash64(*[F.get("__one", i + k) for k in range(4)]))
+    fours = materialized(hashed, counted, __four=F.when(F.col("n_words") < WINDOW, F.array().cast("array<bigint>")).otherwise(four))
+    # A window found twice holds WINDOW - 3 runs of four words that were there before.
+    possible = F.size("__four") - F.size(F.array_distinct("__four")) >= WINDOW - 3
+    eight = F.transform(F.sequence(F.lit(0), F.size("__four") - 5), lambda i: F.xxhash64(F.get("__four", i), F.get("__four", i + 4)))
+    hashed = materialized(fours, counted, __windows=F.when(possible, eight).otherwise(F.array().cast("array<bigint>")))
     # Windows found twice: sort (hash, place), compare neighbours. Few texts have any.
     twice = F.size(F.array_distinct("__windows")) < F.size("__windows")
-    ranked = materialized(hashed, __sorted=F.when(twice, F.sort_array(F.transform("__windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))))).drop("__windows")
+    ranked = materialized(hashed, counted, __sorted=F.when(twice, F.sort_array(F.transform("__windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
     equal = F.filter(
         F.zip_with("__sorted", F.slice("__sorted", 2, F.size("__sorted")), lambda a, b: F.when(a["h"] == b["h"], F.array(a["i"], b["i"]))),
         lambda x: x.isNotNull(),
     )
-    placed = materialized(ranked, __places=F.when(F.col("__sorted").isNotNull(), F.sort_array(F.array_distinct(F.flatten(equal))))).drop("__sorted")
+    placed = materialized(ranked, counted, __places=F.when(F.col("__sorted").isNotNull(), F.sort_array(F.array_distinct(F.flatten(equal)))))
     # Words covered by windows at these places: each adds the words up to the next one, 8 at most.
     covered = F.aggregate(
         F.zip_with("__places", F.slice("__places", 2, F.size("__places")), lambda a, b: F.when(b.isNull(), WINDOW).otherwise(F.least(F.lit(WINDOW), b - a))),
         F.lit(0),
         lambda s, x: s + x,
     )
-    return placed.select(
-        "*",
-        F.length(F.translate("__text", SPACES, "")).cast("long").alias("word_chars"),
-        (F.length("__text") - F.length(F.translate("__text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
-        (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long").alias("n_dup_lines"),
-        F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"),
-    ).drop("__places")
+    return placed.select(*counted, F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"))
 
 
-def normalized(line: Column) -> Column:
-    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(line), "[0-9]+", "0"), "[ \\t-\\r]+", " "))
+def normalized(words: Column) -> Column:
+    """A line's words in lower case, with numbers made alike."""
+    return F.regexp_replace(F.lower(F.array_join(words, " ")), "[0-9]+", "0")
 
 
-def frequent_lines(lines: DataFrame, min_texts: int, share: float) -> DataFrame:
-    """(host, line) of lines above the limit; ``lines``: host, digest of the text, line hash, distinct."""
-    by_text = lines.select("__host", "__digest", "__line").distinct()
-    counts = by_text.groupBy("__host", "__line").agg(F.count(F.lit(1)).alias("__n"))
-    hosts = lines.select("__host", "__digest").distinct().groupBy("__host").agg(F.count(F.lit(1)).alias("__texts"))
-    return counts.filter(F.col("__n") > min_texts).join(hosts, "__host").filter(F.col("__n") > share * F.col("__texts")).select("__host", "__line")
+def shared_lines(docs: DataFrame, text: Column, host: Column, min_texts: int, share: float) -> DataFrame:
+    """Boilerplate of each text: ``__host, __digest``, hashes of the lines, their number and words.
 
+    Copies of a text give the same rows; sums are divided by their number.
+    """
+    split = docs.select(host.alias("__host"), F.xxhash64(text).alias("__digest"), F.explode(F.split(text, "\n")).alias("line")).filter(F.rlike("line", F.lit("[^ \\t-\\r]")))
+    hashed = split.select("__host", "__digest", F.xxhash64(normalized(words_of(F.col("line")))).alias("__line"), F.size(words_of(F.col("line"))).alias("__w"))
+    lines = hashed.groupBy("__host", "__digest", "__line").agg(F.count(F.lit(1)).alias("__times"), F.sum("__w").alias("__words"))
+    copies = docs.select(host.alias("__host"), F.xxhash64(text).alias("__digest")).groupBy("__host", "__digest").agg(F.count(F.lit(1)).alias("__copies"))
+    texts = copies.groupBy("__host").agg(F.count(F.lit(1)).alias("__texts"))
+    often = lines.groupBy("__host", "__line").agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > min_texts)
+    often = often.join(texts, "__host").filter(F.col("__n") > share * F.col("__texts")).select("__host", "__line")
+    found = lines.join(often, ["__host", "__line"]).groupBy("__host", "__digest").agg(
+        F.collect_set("__line").alias("__gone"), F.sum("__times").alias("__gone_lines"), F.sum("__words").alias("__gone_words")
+    )
+    each = lambda c: (F.col(c) / F.col("__copies")).cast("long").alias(c)
+    return found.join(copies, ["__host", "__digest"]).select("__host", "__digest", "__gone", each("__gone_lines"), each("__gone_words"))
 
-def _removed(docs: DataFrame, text: Column, host: Column, min_texts: int, share: float) -> DataFrame:
-    """For texts with boilerplate: digest, host and the hashes of the lines to remove."""
-    lines = docs.select(
-        host.alias("__host"),
-        F.xxhash64(text).alias("__digest"),
-        F.explode(F.array_distinct(F.transform(F.filter(F.split(text, "\n"), lambda x: F.length(F.translate(x, SPACES, "")) > 0), lambda x: F.xxhash64(normalized(x))))).alias("__line"),
-    ).distinct()
-    often = frequent_lines(lines, min_texts, share)
-    return lines.join(often, ["__host", "__line"]).groupBy("__host", "__digest").agg(F.collect_set("__line").alias("__gone"))
 
+def _host(docs: DataFrame, column: str) -> Column:
+    return F.coalesce(docs[column].cast("string"), F.lit("\0null"))
 
-def _judged(docs: DataFrame, text_column: str, host_column: str, min_texts: int, share: float, least_words: int, least_part: float) -> DataFrame:
-    text = common.text_or_empty(docs, text_column)
-    host = F.coalesce(docs[host_column].cast("string"), F.lit("\0null"))
-    gone = _removed(docs, text, host, min_texts, share)
-    keyed = base_counts(docs.withColumn("__host", host).withColumn("__digest", F.xxhash64(text)), text)
-    joined = keyed.join(gone, ["__host", "__digest"], "left")
-    kept_lines = F.when(F.col("__gone").isNull(), F.col("__lines")).otherwise(F.filter("__lines", lambda x: ~F.array_contains("__gone", F.xxhash64(normalized(x)))))
-    cut = materialized(joined, __kept_lines=kept_lines)
-    n_kept = F.when(F.col("__gone").isNull(), F.col("n_words")).otherwise(
-        F.aggregate("__kept_lines", F.lit(0).cast("long"), lambda s, x: s + F.size(words_of(x)))
-    )
-    counted = cut.withColumn("n_kept_words", n_kept).withColumn("n_removed_lines", (F.size("__lines") - F.size("__kept_lines")).cast("long"))
+
+def _judged(docs: DataFrame, keep: list[str], text_column: str, host_column: str, rules: dict[str, float]) -> DataFrame:
+    """``keep``, host, digest, the counts, the lines to remove and the verdict; no texts."""
+    text, host = common.text_or_empty(docs, text_column), _host(docs, host_column)
+    gone = shared_lines(docs, text, host, int(rules["min_texts"]), rules["share"])
+    keys = docs.withColumn("__host", host).withColumn("__digest", F.xxhash64(text))
+    counts = base_counts(keys, text, [*keep, "__host", "__digest"])
+    joined = counts.join(gone, ["__host", "__digest"], "left")
+    kept_words = F.col("n_words") - F.coalesce("__gone_words", F.lit(0))
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-    depleted = (F.col("n_kept_words") < least_words) | (F.col("n_kept_words") < least_part * F.col("n_words"))
-    return counted.withColumn("base_failed", failed).withColumn("kept", ~failed & ~depleted)
+    depleted = (kept_words < rules["least_words"]) | (kept_words < rules["least_part"] * F.col("n_words"))
+    return (
+        joined.withColumn("n_removed_lines", F.coalesce("__gone_lines", F.lit(0).cast("long"))).withColumn("n_kept_words", kept_words)
+        .withColumn("base_failed", failed).withColumn("kept", ~failed & ~depleted)
+    )
 
 
 RULES = {"min_texts": 10, "share": 0.05, "least_words": 10, "least_part": 0.2}
@@ -129,10 +137,8 @@ def judge(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     the number and the share of the host's distinct texts. ``least_words`` and ``least_part``: words,
     and part of the words, that a document must keep.
     """
-    rules = {**RULES, **rules}
     few = docs.select(docs[id_column].alias("doc_id"), docs[text_column].alias("text"), docs[host_column].alias("source"))
-    out = _judged(few, "text", "source", **rules)
-    return out.select(
+    return _judged(few, ["doc_id"], "text", "source", {**RULES, **rules}).select(
         F.col("doc_id").alias(id_column), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_removed_lines", "n_kept_words", "base_failed", "kept"
     )
 
@@ -142,10 +148,13 @@ def clean(docs: DataFrame, text_column: str = "text", host_column: str = "source
 
     A text without such lines stays as it is; otherwise its other lines with a word are joined again.
     """
-    own = docs.select(F.struct("*").alias("__row"), docs[text_column].alias("text"), docs[host_column].alias("source"))
-    out = _judged(own, "text", "source", **{**RULES, **rules}).filter("kept")
-    new = F.when(F.col("n_removed_lines") > 0, F.array_join("__kept_lines", "\n")).otherwise(F.col("text"))
-    return out.select(*[new.alias(c) if c == text_column else F.col("__row").getField(c).alias(c) for c in docs.columns])
+    few = docs.select(docs[text_column].alias("text"), docs[host_column].alias("source"))
+    verdicts = _judged(few, [], "text", "source", {**RULES, **rules}).filter("kept").select("__host", "__digest", "__gone").dropDuplicates(["__host", "__digest"])
+    text = common.text_or_empty(docs, text_column)
+    joined = docs.withColumn("__host", _host(docs, host_column)).withColumn("__digest", F.xxhash64(text)).join(verdicts, ["__host", "__digest"])
+    kept = F.filter(lines_of(F.col(text_column)), lambda x: ~F.array_contains("__gone", F.xxhash64(normalized(words_of(x)))))
+    new = F.when(F.col("__gone").isNotNull(), F.array_join(kept, "\n")).otherwise(F.col(text_column))
+    return joined.select(*[new.alias(c) if c == text_column else joined[c] for c in docs.columns])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
