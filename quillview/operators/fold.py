@@ -6,13 +6,13 @@ last written value, and an array holds, per key, the last object added after the
 the order in which the objects' places were taken. An array that had additions but lost them all is
 empty, not absent. Updates and removals on a missing document do nothing.
 
-All steps are aggregations with partial results, joined on the document key: a document with very many
-operations is not gathered in one task.
+Operations are shuffled once, by document; windows and aggregations within a document reuse that
+partitioning. A document is one row in the end, so its operations may meet in one task; windows spill.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 RESETS = ("index", "insert", "delete")
@@ -29,28 +29,29 @@ def _keyed(ops: DataFrame, adds: tuple[str, ...], dels: tuple[str, ...]) -> Data
 
 def alive(ops: DataFrame) -> DataFrame:
     """Operations from the creation of each existing document on, with ``born`` (their order key)."""
+    w = Window.partitionBy(*KEY)
     reset = F.col("kind").isin(*RESETS)
-    last = ops.filter(reset).groupBy(*KEY).agg(F.max("ord").alias("r"), F.max_by("kind", "ord").alias("r_kind"))
-    after = ops.join(last, KEY, "left").filter(F.col("r").isNull() | (F.col("ord") >= F.col("r")))
-    written = F.col("r_kind").isin("index", "insert")
-    born = F.coalesce(F.first(F.when(written, F.col("r")), ignorenulls=True), F.min(F.when(F.col("kind") == "add", F.col("ord"))))
-    births = after.groupBy(*KEY).agg(born.alias("born")).filter(F.col("born").isNotNull())
-    return after.drop("r", "r_kind").join(births, KEY).filter(F.col("ord") >= F.col("born"))
-
-
-def fold_fields(living: DataFrame) -> DataFrame:
-    """``index, route, id, field, value``: the last fragment of each field."""
-    own = living.filter(F.col("kind").isin("index", "insert", "update")).select(*KEY, "ord", F.explode("fields").alias("field", "value"))
-    stub = living.filter((F.col("kind") == "add") & (F.col("ord") == F.col("born"))).select(*KEY, "ord", F.explode("stub").alias("field", "value"))
-    return own.unionByName(stub).groupBy(*KEY, "field").agg(F.max_by("value", "ord").alias("value"))
-
-
-def fold_items(living: DataFrame) -> DataFrame:
-    """``index, route, id, inline, pk, obj, place``: the objects of each array."""
-    keys = [*KEY, "inline", "pk"]
-    gone = living.filter("kind = 'del'").groupBy(*keys).agg(F.max("ord").alias("gone"))
-    adds = living.filter("kind = 'add'").join(gone, keys, "left").filter(F.col("gone").isNull() | (F.col("ord") > F.col("gone")))
-    return adds.groupBy(*keys).agg(F.max_by("obj", "ord").alias("obj"), F.min("ord").alias("place"))
+    last = F.max(F.when(reset, F.struct("ord", "kind"))).over(w)
+    after = ops.withColumn("last", last).filter(F.col("last").isNull() | (F.col("ord") >= F.col("last.ord")))
+    written = F.coalesce(F.col("last.kind").isin("index", "insert"), F.lit(False))
+    first_add = F.min(F.when(F.col("kind") == "add", F.col("ord"))).over(w)
+    return after.withColumn("born", F.when(written, F.col("last.ord")).otherwise(first_add)).filter(F.col("ord") >= F.col("born")).drop("last")
+
+
+def facts(living: DataFrame) -> DataFrame:
+    """What operations say, a row each: a field's value, an object added or removed, that the document exists."""
+    kind = "array<struct<type:string,name:string,pk:string,value:string,gone:boolean>>"
+    none, no = F.lit(None).cast("string"), F.lit(False)
+    fields = lambda m: F.transform(F.map_entries(m), lambda e: F.struct(F.lit("f"), e["key"], none, e["value"], no)).cast(kind)
+    item = F.array(F.struct(F.lit("a"), F.col("inline"), F.col("pk"), F.col("obj"), F.col("kind") == "del")).cast(kind)
+    empty = F.array().cast(kind)
+    said = F.concat(
+        F.array(F.struct(F.lit("x"), none, none, none, no)).cast(kind),
+        F.coalesce(F.when(F.col("kind").isin("index", "insert", "update"), fields(F.col("fields"))), empty),
+        F.coalesce(F.when((F.col("kind") == "add") & (F.col("ord") == F.col("born")), fields(F.col("stub"))), empty),
+        F.when(F.col("kind").isin("add", "del"), item).otherwise(empty),
+    )
+    return living.select(*KEY, "ord", F.inline(said))
 
 
 def fold(
@@ -59,18 +60,24 @@ def fold(
     del_scripts: tuple[str, ...] = ("inline_del",),
 ) -> DataFrame:
     """``index, route, id, fields (map of fragments), inlines (map of name to array of JSON objects)``."""
-    living = alive(_keyed(ops, add_scripts, del_scripts))
-    pair: Column = F.struct(F.col("field").alias("key"), "value")
-    fields = fold_fields(living).groupBy(*KEY).agg(F.map_from_entries(F.collect_list(pair)).alias("fields"))
-    items = fold_items(living).groupBy(*KEY, "inline").agg(F.array_sort(F.collect_list(F.struct("place", "obj"))).alias("found"))
-    had = living.filter("kind = 'add'").select(*KEY, "inline").distinct()
-    arrays = had.join(items, [*KEY, "inline"], "left").select(
-        *KEY, "inline", F.coalesce(F.transform("found", lambda x: x["obj"]), F.array().cast("array<string>")).alias("items")
+    said = facts(alive(_keyed(ops, add_scripts, del_scripts)))
+    one = [*KEY, "type", "name", "pk"]
+    removed = F.max(F.when(F.col("gone"), F.col("ord"))).over(Window.partitionBy(*one))
+    live = ~F.col("gone") & (F.col("removed").isNull() | (F.col("ord") > F.col("removed")))
+    last = said.withColumn("removed", removed).withColumn("live", F.when(live, F.col("ord"))).groupBy(*one).agg(
+        F.max_by("value", "live").alias("value"), F.min("live").alias("place"), F.bool_or(~F.col("gone")).alias("had")
     )
-    inlines = arrays.groupBy(*KEY).agg(F.map_from_entries(F.collect_list(F.struct(F.col("inline").alias("key"), F.col("items").alias("value")))).alias("inlines"))
-    exist = living.select(*KEY).distinct()
-    none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
-    return exist.join(fields, KEY, "left").join(inlines, KEY, "left").withColumn("fields", F.coalesce("fields", none))
+    field = F.when(F.col("type") == "f", F.struct(F.col("name").alias("key"), "value"))
+    item = F.when((F.col("type") == "a") & F.col("had"), F.struct("name", "place", "value"))
+    docs = last.groupBy(*KEY).agg(F.collect_list(field).alias("pairs"), F.array_sort(F.collect_list(item)).alias("items"))
+    names = F.array_distinct(F.transform("items", lambda x: x["name"]))
+
+    def array_of(name: Column) -> Column:
+        mine = F.filter("items", lambda x: (x["name"] == name) & x["place"].isNotNull())
+        return F.transform(mine, lambda x: x["value"])
+
+    inlines = F.when(F.size("items") > 0, F.map_from_arrays(names, F.transform(names, array_of)))
+    return docs.select(*KEY, F.map_from_entries("pairs").alias("fields"), inlines.alias("inlines"))
 
 
 def body(documents: DataFrame) -> Column:
