@@ -73,7 +73,8 @@ class Pieces:
             MergeCodec(path)  # raises for models whose words can't be told apart
             self.sp = sentencepiece.SentencePieceProcessor(model_file=path)
             self.size = self.sp.get_piece_size()
-            self.pretokens, self.ids = MergeCodec.words, self.sp.encode
+            mark = [self.sp.piece_to_id("▁")]  # what is left of a word that is only its space mark
+            self.pretokens, self.ids = MergeCodec.words, lambda w: self.sp.encode(w) if w else mark
             return
         from tokenizers import Tokenizer
 
