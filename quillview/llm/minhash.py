@@ -11,8 +11,8 @@ Hot groups never become all of their pairs:
 * documents with equal sets are one class, represented once;
 * in a bucket of a band every class is paired with the bucket's smallest only (a star);
 * a bucket whose classes are not in one component afterwards is looked at again: in blocks, every two
-  of its classes from different components are compared on signatures, inside the task, and a
-  spanning forest of the pairs that signatures allow comes out: as many rows as classes at most;
+  of its classes from different components are compared on signatures, inside the task, and the
+  trees that the allowed pairs make come out as stars: as many rows as classes at most;
 * the trees of these forests are clusters; in blocks again, every two classes of a cluster from
   different components are compared on their full sets, as bit rows over the cluster's shared
   shingles, inside the task, and only links that join two components come out. So a pair in one
@@ -254,18 +254,21 @@ def _forests(members: DataFrame, share: Fraction) -> DataFrame:
     def compare(rows: pa.Table) -> pa.Table:
         cid, root, n, sig, left, right = _block_arrays(rows)
         tree = np.arange(len(cid))
-        out: list[tuple[int, int]] = []
         for i in left.tolist():
             open_ = right[(root[right] != root[i]) & (tree[right] != tree[i])]
             if not len(open_):
                 continue
             ok = open_[_disagreement(sig[:, i], sig[:, open_]) <= limit]
             ok = ok[den * np.minimum(n[ok], n[i]) >= num * np.maximum(n[ok], n[i])]
-            trees, first = np.unique(tree[ok], return_index=True)
-            out += [(int(cid[i]), int(cid[j])) for j in ok[first].tolist()]
+            trees = np.unique(tree[ok])
             if len(trees):
                 tree[np.isin(tree, trees)] = tree[i]
-        return _pairs_table(out)
+        # Each tree as a star from its smallest class: other buckets of a group give the same rows.
+        order = np.lexsort((cid, tree))
+        of, member = tree[order], cid[order]
+        starts = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
+        lead = np.repeat(member[starts], np.diff(np.append(starts, len(of))))
+        return _pairs_table([(int(a), int(b)) for a, b in zip(lead, member, strict=True) if a != b])
 
     lanes = [f"s{k}" for k in range(LANES)]
     return _in_blocks(members, "key").select("key", "lo", "hi", "block", "cid", "root", "n", *lanes).groupBy("key", "lo", "hi").applyInArrow(compare, "a long, b long").distinct()
