@@ -35,7 +35,7 @@ from .pretokens import Memory
 
 MARK = "▁"
 #: Distinct words, and parts of words, in each of the two generations that one worker keeps.
-KEEP_WORDS, KEEP_PARTS = 400_000, 400_000
+KEEP_WORDS, KEEP_PARTS = 200_000, 200_000
 
 
 class MergeCodec:
