@@ -4,7 +4,8 @@ Every stage takes the session, the documents its predecessor left and the folder
 returns the documents it leaves; all but the last return the columns of ``documents``. Between stages
 the documents are written as Parquet and read again.
 
-* ``quality_rules``: documents that the rules reject go; boilerplate lines go from the others' texts.
+* ``quality_rules``: documents that the rules reject go; boilerplate lines go from the others' texts. A
+  line in more than ``ENOUGH_TEXTS`` distinct texts of its source is boilerplate however large the source.
 * ``near_duplicates``: one document of each group of similar ones (five-word shingles, similarity 0.8
   or more) stays; documents without words all stay.
 * ``mixing``: every source weighs the same; documents come as often as their Poisson number says.
@@ -20,9 +21,12 @@ from pyspark.sql import functions as F
 
 from quillview.llm import common, minhash, mixing, quality, sentencepiece_codec
 
+#: 5 % of a source of 2,000 texts: up to there the rules of ``op8_quality_rules`` alone decide.
+ENOUGH_TEXTS = 100
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality.clean(docs)
+    return quality.clean(docs, enough=ENOUGH_TEXTS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,8 +3,9 @@
 Base rules look at one text alone: too few words, or too many words inside 8-word windows that the
 text holds twice. The method looks across documents: lines are normalised (case, white space and
 digits), hashed, and counted by the number of distinct texts of the host that hold them. A line in
-more than ``max(min_texts, share * texts of the host)`` distinct texts is boilerplate and is removed;
-a document that keeps too few words, or too small a part of its words, is rejected. Exact copies
+more than ``max(min_texts, share * texts of the host)`` distinct texts is boilerplate and is removed.
+That limit grows with the host; ``enough``, where given, is a number of distinct texts that suffices in
+a host of any size. A document that keeps too few words, or too small a part of its words, is rejected. Exact copies
 count as one text: copying a page does not make its lines boilerplate, near-duplicate removal deals
 with copies.
 
@@ -88,7 +89,7 @@ def normalized(words: Column) -> Column:
     return F.regexp_replace(F.lower(F.array_join(words, " ")), "[0-9]+", "0")
 
 
-def shared_lines(docs: DataFrame, text: Column, host: Column, min_texts: int, share: float) -> DataFrame:
+def shared_lines(docs: DataFrame, text: Column, host: Column, min_texts: int, share: float, enough: int | None = None) -> DataFrame:
     """Boilerplate of each text: ``__host, __digest``, hashes of the lines, their number and words.
 
     Copies of a text give the same rows; sums are divided by their number.
@@ -99,7 +100,10 @@ def shared_lines(docs: DataFrame, text: Column, host: Column, min_texts: int, sh
     copies = docs.select(host.alias("__host"), F.xxhash64(text).alias("__digest")).groupBy("__host", "__digest").agg(F.count(F.lit(1)).alias("__copies"))
     texts = copies.groupBy("__host").agg(F.count(F.lit(1)).alias("__texts"))
     often = lines.groupBy("__host", "__line").agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > min_texts)
-    often = often.join(texts, "__host").filter(F.col("__n") > share * F.col("__texts")).select("__host", "__line")
+    above = F.col("__n") > share * F.col("__texts")
+    if enough is not None:
+        above |= F.col("__n") > enough
+    often = often.join(texts, "__host").filter(above).select("__host", "__line")
     found = lines.join(often, ["__host", "__line"]).groupBy("__host", "__digest").agg(
         F.collect_set("__line").alias("__gone"), F.sum("__times").alias("__gone_lines"), F.sum("__words").alias("__gone_words")
     )
@@ -111,10 +115,10 @@ def _host(docs: DataFrame, column: str) -> Column:
     return F.coalesce(docs[column].cast("string"), F.lit("\0null"))
 
 
-def _judged(docs: DataFrame, keep: list[str], text_column: str, host_column: str, rules: dict[str, float]) -> DataFrame:
+def _judged(docs: DataFrame, keep: list[str], text_column: str, host_column: str, rules: dict[str, float | None]) -> DataFrame:
     """``keep``, host, digest, the counts, the lines to remove and the verdict; no texts."""
     text, host = common.text_or_empty(docs, text_column), _host(docs, host_column)
-    gone = shared_lines(docs, text, host, int(rules["min_texts"]), rules["share"])
+    gone = shared_lines(docs, text, host, int(rules["min_texts"]), rules["share"], rules["enough"])
     keys = docs.withColumn("__host", host).withColumn("__digest", F.xxhash64(text))
     counts = base_counts(keys, text, [*keep, "__host", "__digest"])
     joined = counts.join(gone, ["__host", "__digest"], "left")
@@ -127,14 +131,16 @@ def _judged(docs: DataFrame, keep: list[str], text_column: str, host_column: str
     )
 
 
-RULES = {"min_texts": 10, "share": 0.05, "least_words": 10, "least_part": 0.2}
+#: The rules of the registered query, as its SQL states them: no number suffices in a large host.
+RULES = {"min_texts": 10, "share": 0.05, "enough": None, "least_words": 10, "least_part": 0.2}
 
 
-def judge(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", host_column: str = "source", **rules: float) -> DataFrame:
+def judge(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", host_column: str = "source", **rules: float | None) -> DataFrame:
     """One row per document: the base counts, words left without boilerplate lines, and the verdict.
 
     ``min_texts`` and ``share``: a line is boilerplate in more distinct texts of its host than both
-    the number and the share of the host's distinct texts. ``least_words`` and ``least_part``: words,
+    the number and the share of the host's distinct texts, or in more than ``enough`` (above
+    ``min_texts``) whatever the share. ``least_words`` and ``least_part``: words,
     and part of the words, that a document must keep.
     """
     few = docs.select(docs[id_column].alias("doc_id"), docs[text_column].alias("text"), docs[host_column].alias("source"))
@@ -143,7 +149,7 @@ def judge(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     )
 
 
-def clean(docs: DataFrame, text_column: str = "text", host_column: str = "source", **rules: float) -> DataFrame:
+def clean(docs: DataFrame, text_column: str = "text", host_column: str = "source", **rules: float | None) -> DataFrame:
     """The documents that are kept, all their columns; boilerplate lines are gone from their texts.
 
     A text without such lines stays as it is; otherwise its other lines with a word are joined again.

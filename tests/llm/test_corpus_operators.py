@@ -257,6 +257,15 @@ def test_clean_keeps_columns_and_texts(spark):
     assert quality.clean(docs.limit(0)).count() == 0 and quality.judge(docs.limit(0)).count() == 0
 
 
+def test_a_number_of_texts_suffices_in_a_large_source(spark):
+    line, words = "subscribe to our newsletter for more of this", F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(30)), lambda k: F.substring(F.sha1(F.concat_ws("-", "id", k)), 1, 6)))
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 120, F.concat(F.lit(line + "\n"), words)).otherwise(words).alias("text"), F.lit("hot").alias("source"))
+    kept = corpus_pipeline.quality_rules(spark, docs, SF)
+    assert kept.count() == 3000 and kept.filter(F.contains("text", F.lit(line))).count() == 0
+    assert quality.judge(docs, enough=120).filter("n_removed_lines > 0").count() == 0
+    assert quality.judge(docs).filter("n_removed_lines > 0").count() == 0  # 4 %: the rule of the SQL
+
+
 def test_poisson_numbers(spark):
     n = 4000
     for rate in (0.3, 2.0, 900.0):
