@@ -128,6 +128,9 @@ def _search(index: pa.Table, queries: pa.Table, k: int, trees: int, leaf: int, p
     x, back = np.unique(raw, axis=0, return_inverse=True)
     order = np.lexsort((all_ids, back.ravel()))
     ids, of = all_ids[order], back.ravel()[order]
+    # Rows repeated in id and vector count once, before equal vectors are cut to k + 1 ids.
+    first = np.concatenate([[True], (ids[1:] != ids[:-1]) | (of[1:] != of[:-1])])
+    ids, of = ids[first], of[first]
     starts = np.searchsorted(of, np.arange(len(x) + 1))
     forest = Forest(x, trees, leaf, 7)
     want = max(LEAST * k, int(np.ceil(part * len(x))))
@@ -143,8 +146,7 @@ def _search(index: pa.Table, queries: pa.Table, k: int, trees: int, leaf: int, p
         counts = np.minimum(starts[found + 1] - starts[found], k + 1)
         rows = np.repeat(starts[found], counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
         score, near_ids = np.repeat(score, counts), ids[rows]
-        # Rows repeated in id and vector count once.
-        other = (near_ids != own) & np.concatenate([[True], (near_ids[1:] != near_ids[:-1]) | (score[1:] != score[:-1])])
+        other = near_ids != own
         score, near_ids = score[other], near_ids[other]
         best = np.lexsort((near_ids, -score))[:k]
         out.append((np.full(len(best), key), np.full(len(best), own), near_ids[best], score[best]))

@@ -164,6 +164,13 @@ def test_a_third_of_all_vectors_alike(spark):
     assert [r.vec_id for r in got[20:]] == list(range(0, 60, 3))
 
 
+def test_repeated_rows_do_not_hide_equal_vectors(spark):
+    rows = [(k, [1.0, 0.0]) for k in range(1, 16)] * 2 + [(1, [1.0, 0.0])] * 30 + [(100 + k, [0.5, 1.0 + k]) for k in range(30)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [r.vec_id for r in ann.nearest(df, df.filter("vec_id = 1")).orderBy("rank").collect()]
+    assert got == [*range(2, 16), *range(100, 106)]
+
+
 # --- pages -------------------------------------------------------------------------------------
 
 PAGE = """<!doctype html><html><head><title>T</title><style>p{}</style></head><body><header><h1>Site</h1></header><div id="cookie-notice">We use cookies for many things and more</div>
