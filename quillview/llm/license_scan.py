@@ -2,9 +2,11 @@
 
 The automaton is built once over the word sequences of all templates. A text is streamed through
 it word by word; at each word the state holds the longest run of words, ending there, that occurs
-in some template. Runs that no longer word extends are the maximal matches; those of at least
-``min_words`` words are chained, in order of position, into spans of one template, and a template
-is reported once its chained spans cover enough of it. Short phrases (the base labels) are found by
+in some template. Runs that no longer word extends are the maximal matches. In those of at least
+``min_words`` words, each template's own matches are placed and the heaviest chain of them, rising in
+text and template, is its cover; a template is reported once that is enough of it. Templates are whole
+licence texts (``licences/``), notices and openings. Of templates that share most words (GPL and LGPL
+notices, BSD licences) one gives way to another that explains more of the same words of the text. Short phrases (the base labels) are found by
 the same pass: a phrase stands at a place exactly when the automaton, at the phrase's last word, is
 in a state whose longest suffix chain contains the phrase.
 
@@ -18,12 +20,15 @@ matter; an empty table gives an empty result. Other columns of the input are ign
 
 from __future__ import annotations
 
+import heapq
+from importlib import resources
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from . import common
 
-# Phrases with their labels, then the opening words of public licence notices.
+# Phrases with their labels, then notices and openings, then whole licences.
 PHRASES = {
     "gnu general public license": "gpl",
     "apache license": "apache",
@@ -51,12 +56,27 @@ TEMPLATES = {
         "This program is free software: you can redistribute it and/or modify it under the terms of "
         "the GNU General Public License as published by the Free Software Foundation"
     ),
+    "lgpl-notice": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of "
+        "the GNU Lesser General Public License as published by the Free Software Foundation"
+    ),
+    "agpl-notice": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of "
+        "the GNU Affero General Public License as published by the Free Software Foundation"
+    ),
     "apache-notice": (
         "you may not use this file except in compliance with the License. You may obtain a copy of "
         "the License at"
     ),
     "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
 }
+#: Licences in ``licences/``, without copyright lines; their labels end in ``-whole-text``.
+WHOLE = (
+    "0bsd", "apache-2.0", "artistic-1.0", "bsd-2-clause", "bsd-3-clause", "cc0-1.0", "gfdl-1.2", "gfdl-1.3", "gpl-1.0", "gpl-2.0", "gpl-3.0",
+    "isc", "lgpl-2.0", "lgpl-2.1", "lgpl-3.0", "mit", "mpl-1.1", "mpl-2.0", "unicode-3.0", "unlicense", "zlib",
+)
+for _name in WHOLE:
+    TEMPLATES[f"{_name}-whole-text"] = resources.files(__package__).joinpath("licences", f"{_name}.txt").read_text("utf-8")
 #: Bytes that separate words, and A-Z, go through one translation table.
 _TABLE = bytes(
     c + 32 if 0x41 <= c <= 0x5A else c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20
@@ -174,36 +194,73 @@ class Scanner:
                     hits.append((i - size + 1, k))
         if length >= self.min_words:
             runs.append((len(ids) - length, length))
-        cover = self.covered(ids, runs)
+        chains = self.chains(ids, runs)
+        cover = {t: sum(size for _, size in c) / len(self.templates[t][1]) for t, c in chains.items()}
         base = sorted({self.phrases[k][1] for _, k in hits})
-        own = {self.templates[t][0] for t, part in cover.items() if part >= self.min_cover}
+        own = {self.templates[t][0] for t in self.best({t: chains[t] for t, part in cover.items() if part >= self.min_cover}, cover)}
         score = max([*cover.values(), 1.0 if hits else 0.0, 0.0])
         starts = [s for s, _ in hits]
         return len(ids), len(hits), min(starts, default=None), max(starts, default=None), base, sorted(own | set(base)), min(1.0, score)
 
-    def covered(self, ids: list[int], runs: list[tuple[int, int]]) -> dict[int, float]:
-        """Share of each template that a chain of matches in increasing position covers."""
-        spans: dict[int, list[tuple[int, int, int]]] = {}
+    def chains(self, ids: list[int], runs: list[tuple[int, int]]) -> dict[int, list[tuple[int, int]]]:
+        """For each template met, its heaviest chain of matches: start in the text and size."""
+        matches: dict[int, list[tuple[int, int, int]]] = {}
+        least, done = self.min_words, 0
         for start, length in runs:
-            for t, i in self.places.get(tuple(ids[start : start + self.min_words]), ()):
-                template = self.templates[t][1]
-                size = 0
-                while size < length and i + size < len(template) and template[i + size] == ids[start + size]:
-                    size += 1
-                spans.setdefault(t, []).append((start, i, size))
-        out: dict[int, float] = {}
-        for t, found in spans.items():
-            # Greedy chain: a template read again starts a new chain; the best chain counts.
-            total, best, at, upto = 0, 0, 0, -1
-            for start, i, size in sorted(found):
-                if start <= upto:
-                    continue
-                if i < at:
-                    total = at = 0
-                total, at, upto = total + size, i + size, start + size - 1
-                best = max(best, total)
-            out[t] = best / len(self.templates[t][1])
-        return out
+            end = start + length - least + 1
+            for j in range(max(start, done), end):
+                for t, i in self.places.get(tuple(ids[j : j + least]), ()):
+                    template = self.templates[t][1]
+                    if i and j and template[i - 1] == ids[j - 1]:
+                        continue  # part of the match that starts a word earlier
+                    size = least
+                    while i + size < len(template) and j + size < len(ids) and template[i + size] == ids[j + size]:
+                        size += 1
+                    matches.setdefault(t, []).append((j, i, size))
+            done = max(done, end)
+        return {t: self.heaviest(found, len(self.templates[t][1])) for t, found in matches.items()}
+
+    @staticmethod
+    def heaviest(found: list[tuple[int, int, int]], length: int) -> list[tuple[int, int]]:
+        """The chain of most words in which each match starts after the one before, in text and template."""
+        if len(found) == 1:
+            return [(found[0][0], found[0][2])]
+        found.sort()
+        tree: list[tuple[int, int]] = [(0, -1)] * (length + 1)  # most words of a chain, its last match, by its end in the template
+        before: list[int] = []
+        ended: list[tuple[int, int, int, int]] = []
+        best = (0, -1)
+        for k, (start, i, size) in enumerate(found):
+            while ended and ended[0][0] <= start:
+                _, at, total, which = heapq.heappop(ended)
+                while at <= length:
+                    if tree[at][0] < total:
+                        tree[at] = (total, which)
+                    at += at & -at
+            top, at = (0, -1), i
+            while at > 0:
+                top = max(top, tree[at])
+                at -= at & -at
+            before.append(top[1])
+            heapq.heappush(ended, (start + size, i + size, top[0] + size, k))
+            best = max(best, (top[0] + size, k))
+        chain, k = [], best[1]
+        while k >= 0:
+            chain.append((found[k][0], found[k][2]))
+            k = before[k]
+        return chain[::-1]
+
+    @staticmethod
+    def best(chains: dict[int, list[tuple[int, int]]], cover: dict[int, float]) -> list[int]:
+        """Templates that no other explains better: with more words of their stretch of the text, or as many and more cover."""
+
+        def loses(a: int, b: int) -> bool:
+            start, end = chains[a][0][0], sum(chains[a][-1])
+            mine = sum(size for _, size in chains[a])
+            other = sum(max(0, min(end, s + size) - max(start, s)) for s, size in chains[b])
+            return other > mine or (other == mine and cover[b] > cover[a])
+
+        return [a for a in chains if not any(a != b and loses(a, b) for b in chains)]
 
 
 def scan_licenses(

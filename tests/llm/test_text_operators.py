@@ -149,6 +149,22 @@ def test_licence_templates():
     assert "mit-text" not in s.scan(" ".join(broken[:20]).encode())[5]
 
 
+def test_whole_licences():
+    s = license_scan.Scanner(license_scan.PHRASES, license_scan.TEMPLATES, 3, 0.8)
+    labels = lambda text: {x for x in s.scan(text.encode())[5] if x.endswith(("-notice", "-whole-text"))}
+    for name in ("gpl", "lgpl", "agpl"):
+        for thing in ("program", "library"):
+            notice = license_scan.TEMPLATES[f"{name}-notice"].replace("program", thing)
+            assert labels(f"x {notice}; either version 3 of the License") == {f"{name}-notice"}
+    for name in license_scan.WHOLE:
+        text = license_scan.TEMPLATES[f"{name}-whole-text"]
+        assert {x for x in labels(f"my page\n{text}\nthe end") if "whole" in x} == {f"{name}-whole-text"}
+        w = text.split()
+        worn = " ".join("xx" if k % 40 == 20 else x for k, x in enumerate(w))
+        assert {x for x in labels(worn) if "whole" in x} == {f"{name}-whole-text"}
+        assert f"{name}-whole-text" not in labels(" ".join(w[: len(w) // 2]))
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert license_scan.scan_licenses(none).count() == 0
