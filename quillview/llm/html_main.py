@@ -68,6 +68,10 @@ def _boilerplate(name: str, rest: str, in_main: bool) -> bool:
     return False
 
 
+# For Spark: a tag that labels a page, and what holds no tags.
+LABEL = r"(?i)<(?:article|main)(?=[\s/>])"
+UNREAD = rf"(?is)<!--.*?(?:-->|\z)|<({RAW})(?=[\s/>]).*?(?:</\1\s*>|\z)"
+
 Token = tuple[str, str, bool, bool]  # text or tag name, kind ("w" words, "t" tag, "d" element left out), linked, in main
 
 
@@ -193,13 +197,15 @@ def main_text(
 ) -> DataFrame:
     """``carry`` columns, ``text`` and ``n_chars`` of every page.
 
-    ``sample_pages``: the bound of the sample that the weights are fitted on, taken by a hash of the page.
+    ``sample_pages``: the bound of the sample that the weights are fitted on, taken by a hash of the page
+    from the pages with an ``article`` or ``main`` tag, however rare they are.
     """
     page = pages[html_column].cast("string")
+    labelled = pages.select(page.alias("html")).filter(F.rlike("html", F.lit(LABEL)) & F.rlike(F.regexp_replace("html", UNREAD, " "), F.lit(LABEL)))
     # Only about four times the sample passes the hash, however many pages and partitions there are.
-    part = min(1.0, 4.0 * sample_pages / max(1, pages.count()))
+    part = min(1.0, 4.0 * sample_pages / max(1, labelled.count()))
     place = F.pmod(F.xxhash64("html"), F.lit(1 << 30))
-    some = pages.select(page.alias("html")).filter((F.length("html") > 0) & (place <= int(part * (1 << 30))))
+    some = labelled.filter(place <= int(part * (1 << 30)))
     sample = some.orderBy(F.xxhash64("html")).limit(sample_pages)
     weights = fit([r.html for r in sample.collect()])  # at most sample_pages rows
 

@@ -201,6 +201,18 @@ def test_articles_of_the_table(spark):
         assert got[r.page_id] == (text, len(text))
 
 
+def test_rare_labelled_pages_are_sampled(spark, monkeypatch):
+    plain, hidden = "<div><p>some words <i>and</i> others</p></div>", "<script>x = '<main>'</script><!-- <article> --><p>words</p>"
+    rows = [(k, "u", f"{hidden if k % 2 else plain}{k}") for k in range(3000)]
+    rows += [(5000 + k, "u", f"<div><p>side {k}</p></div><MAIN class='x'><p>the words of page {k}</p></main>") for k in range(3)]
+    seen = []
+    fit = html_main.fit
+    monkeypatch.setattr(html_main, "fit", lambda pages: seen.extend(pages) or fit(pages))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert html_main.main_text(df, sample_pages=40).filter("page_id >= 5000 AND text LIKE 'the words of page%'").count() == 3
+    assert len(seen) == 3 and all("<MAIN" in p for p in seen)
+
+
 # --- sharding ----------------------------------------------------------------------------------
 
 
