@@ -149,6 +149,26 @@ def test_recall_in_large_shards(spark):
     assert hits >= 0.9 * 20 * len(found)
 
 
+def test_recall_of_the_registered_query_in_full_shards(spark, tmp_path):
+    rnd = np.random.default_rng(11)
+    x = rnd.normal(size=(3 * 8192, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    ids = np.arange(len(x)) * 20 + 1
+    ids[::1000] -= 1  # the registered query asks for ids that 20 divides
+    rows = [(int(i), v.tolist()) for i, v in zip(ids, x, strict=True)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<double>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    found = defaultdict(set)
+    for r in ann.query(spark, str(tmp_path)).collect():
+        found[r.query_id].add(r.vec_id)
+    hits = 0
+    for k in range(0, len(x), 1000):
+        score = x @ x[k]
+        score[k] = -np.inf
+        hits += len(found[int(ids[k])] & set(ids[np.argsort(-score)[:20]].tolist()))
+    print("recall", hits / (20 * len(found)))
+    assert len(found) == 25 and hits >= 0.9 * 20 * 25
+
+
 def test_vectors_that_take_no_part(spark):
     rows = [(20, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, None), (3, [0.0, 0.0]), (4, [float("nan"), 1.0]), (5, [2.0, 1.0]), (None, [1.0, 1.0]), (40, [0.0, 3.0]), (6, [1.0]), (7, [None, 1.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("id", F.lit(0)).withColumn("v", F.lit(0))
