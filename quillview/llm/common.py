@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -42,7 +43,38 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    _written.append(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._materialized_at = path
+    return table
+
+
+#: Folders that :func:`materialize` wrote in this process and nothing has deleted yet.
+_written: list[str] = []
+
+
+def delete(spark: SparkSession, paths: list[str]) -> None:
+    jvm = spark.sparkContext._jvm
+    for path in paths:
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+        if path in _written:
+            _written.remove(path)
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete materialized tables that no later plan reads."""
+    for t in tables:
+        delete(t.sparkSession, [t._materialized_at])
+
+
+@contextmanager
+def scratch(spark: SparkSession, *kept: list[DataFrame]) -> Iterator[None]:
+    """Delete what is materialized inside, except the tables put into ``kept``."""
+    before = set(_written)
+    yield
+    stay = {t._materialized_at for tables in kept for t in tables}
+    delete(spark, [p for p in _written if p not in before and p not in stay])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -9,7 +9,8 @@ and pairs far below the threshold are dropped. What is left is confirmed on the
 Hot groups never become all of their pairs:
 
 * documents with equal sets are one class, represented once;
-* in a bucket of a band every class is paired with the bucket's smallest only (a star);
+* in a bucket of a band every class is paired with the bucket's smallest only (a star); buckets with over a
+  thousandth of all classes, a bounded number, are broadcast to their entries instead of gathering them;
 * a bucket whose classes are not in one component afterwards is looked at again: in blocks, every two
   of its classes from different components are compared on signatures, inside the task, and the
   trees that the allowed pairs make come out as stars: as many rows as classes at most;
@@ -49,6 +50,8 @@ BITS = 2
 CHANCE = 0.5**BITS
 #: Signatures pack 32 two-bit minima into each of these words.
 LANES = MINIMA * BITS // 64
+#: A bucket with more than this part of all classes is hot.
+HOT = 1000
 #: Classes of one block in the comparison of a bucket that is not in one component.
 BLOCK = 1024
 #: Bytes of bit rows that a task compares at a time.
@@ -207,7 +210,9 @@ def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_column: s
         return batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     left, right = sets.select(F.col("cid").alias("a"), F.col("members").alias("x")), sets.select(F.col("cid").alias("b"), F.col("members").alias("y"))
-    return common.materialize(common.map_rows(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y"), similar, "a long, b long"), "links")
+    links = common.materialize(common.map_rows(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y"), similar, "a long, b long"), "links")
+    common.release(sets)
+    return links
 
 
 def _disagreement(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -360,37 +365,57 @@ def _classes(docs: DataFrame, id_column: str, text_column: str, size: int) -> tu
     return rows, common.materialize(picked.withColumn("cid", F.monotonically_increasing_id()), "classes")
 
 
+def _join_buckets(entries: DataFrame, buckets: DataFrame, n_classes: int) -> DataFrame:
+    """``entries`` (key, ...) joined with ``buckets`` (key, size, ...); no task gets a hot bucket's entries.
+
+    A bucket with more than 1 / HOT of all classes is hot. A band has under HOT of them, so all bands
+    together have at most BANDS * HOT, a bound on the rows that are broadcast at any size. What is left
+    is joined by key, where no key has more than 1 / HOT of a band's entries.
+    """
+    hot = buckets.filter(F.col("size") * HOT > n_classes)
+    few = buckets.filter(F.col("size") * HOT <= n_classes)
+    return entries.join(F.broadcast(hot), "key").unionByName(entries.join(F.broadcast(hot.select("key")), "key", "left_anti").join(few, "key"))
+
+
 def link_classes(docs: DataFrame, classes: DataFrame, id_column: str, text_column: str, size: int, share: Fraction) -> DataFrame:
     """``cid`` and ``root`` for every class that is linked with another."""
+    n_classes = classes.count()
     entries = classes.select("cid", F.explode("bands").alias("key"))
-    buckets = entries.groupBy("key").agg(F.min("cid").alias("lead"), F.count(F.lit(1)).alias("size")).filter("size > 1")
-    met = common.materialize(entries.join(buckets, "key"), "buckets")
+    buckets = common.materialize(entries.groupBy("key").agg(F.min("cid").alias("lead"), F.count(F.lit(1)).alias("size")).filter("size > 1"), "buckets")
+    met = common.materialize(_join_buckets(entries, buckets, n_classes), "buckets")
     star = met.filter("cid <> lead").select(F.col("lead").alias("a"), F.col("cid").alias("b")).distinct()
     near = common.materialize(_promising(star, classes, share), "candidates")
     links = _confirm(near, classes, docs, id_column, text_column, size, share)
     labels = components(links).withColumnRenamed("node", "cid")
-    more = _complete(met, classes, labels, docs, id_column, text_column, size, share)
+    more = _complete(met, n_classes, classes, labels, docs, id_column, text_column, size, share)
     if more is not None:
         labels = components(links.union(more)).withColumnRenamed("node", "cid")
+        common.release(more)
+    common.release(buckets, met, near, links)
     return labels
 
 
 def _complete(
-    met: DataFrame, classes: DataFrame, labels: DataFrame, docs: DataFrame, id_column: str, text_column: str, size: int, share: Fraction
+    met: DataFrame, n_classes: int, classes: DataFrame, labels: DataFrame, docs: DataFrame, id_column: str, text_column: str, size: int, share: Fraction
 ) -> DataFrame | None:
     """Links that the stars did not test, of buckets whose classes are in several components."""
     lanes = [f"s{k}" for k in range(LANES)]
     placed = met.filter("size > 2").select("key", "cid", "size").join(labels, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
-    split = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
-    members = placed.join(split, "key").join(classes.select("cid", "n", *lanes), "cid")
+    spread = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.first("size").alias("size"))
+    split = common.materialize(spread.filter("lo <> hi").select("key", "size"), "split")
+    members = _join_buckets(placed.drop("size"), split, n_classes).join(classes.select("cid", "n", *lanes), "cid")
     trees = common.materialize(_forests(members, share), "forests")
+    common.release(split)
     if trees.limit(1).count() == 0:
+        common.release(trees)
         return None
     clusters = components(trees).select(F.col("node").alias("cid"), F.col("root").alias("cluster"))
     sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
     sets = _class_sets(clusters.select("cid"), classes, docs, id_column, text_column, size)
     full = clusters.join(sizes, "cluster").join(labels, "cid", "left").withColumn("root", F.coalesce("root", "cid")).join(classes.select("cid", "n", *lanes), "cid").join(sets, "cid")
-    return common.materialize(_cluster_links(full, share), "links")
+    links = common.materialize(_cluster_links(full, share), "links")
+    common.release(trees, sets)
+    return links
 
 
 def _labelled(docs: DataFrame, id_column: str, text_column: str, size: int, threshold: float) -> tuple[DataFrame, DataFrame]:

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quillview.llm import ann, html_main, library, minhash, mixing, quality, sharding
+from quillview.llm import ann, common, html_main, library, minhash, mixing, quality, sharding
 from quillview.llm.components import components
 from tests.conftest import SF, same_rows
 
@@ -117,6 +117,34 @@ def test_long_chain_is_one_component(spark):
     assert Counter(r.root for r in components(links).collect()) == {0: 201, 500: 2}
 
 
+def test_components_of_shuffled_chain_star_and_tree(spark):
+    ids = random.Random(8).sample(range(100_000), 5001)
+    chain = list(zip(ids, ids[1:], strict=False))
+    star = [(200_000 + k, 300_000) for k in range(2000)]
+    tree = [(400_000 + k, 400_000 + (k - 1) // 2) for k in range(1, 1000)]
+    links = chain + star + tree + chain[:50] + [(b, a) for a, b in star[:50]] + [(7, 7)]
+    got = Counter(r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect())
+    assert got == {min(ids): 5001, 200_000: 2001, 400_000: 1000}
+
+
+def test_no_intermediate_links_are_left(spark):
+    with common.scratch(spark, kept := []):
+        before = len(common._written)
+        assert components(spark.createDataFrame([(1, 2), (2, 3), (8, 9)], "a long, b long")).count() == 5
+        assert len(common._written) == before + 1
+    assert len(common._written) == before
+
+
+def test_a_third_of_all_texts_nearly_alike(spark):
+    rnd = random.Random(12)
+    words = ["".join(rnd.choice("abcdefgh") for _ in range(5)) for _ in range(500)]
+    base = [rnd.choice(words) for _ in range(60)]
+    rows = [(k, " ".join(base[:-1] + [f"n{k}"])) for k in range(1500)] + [(5000 + k, " ".join(rnd.choice(words) for _ in range(40))) for k in range(1600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter(r.component_id for r in minhash.near_duplicates(docs, size=2).collect())
+    assert got[0] == 1500 and len(got) == 1601
+
+
 # --- nearest neighbours ------------------------------------------------------------------------
 
 
