@@ -100,3 +100,9 @@ def utf8(column: pa.Array) -> list[bytes | None]:
 
 def text_or_empty(df: DataFrame, column: str = "text") -> F.Column:
     return F.coalesce(df[column].cast("string"), F.lit(""))
+
+
+def computed(df: DataFrame, keep: list[str], **columns: F.Column) -> DataFrame:
+    """``keep`` and new columns, each computed once per row: a generator is a step that the optimizer doesn't fold away."""
+    fields = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return df.select(*keep, F.inline(F.array(fields)))

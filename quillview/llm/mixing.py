@@ -7,9 +7,11 @@ function at a uniform number that a hash of seed, document id and text gives. Ea
 exploded by its count and the copies are dealt out and ordered by a hash of their own: a global
 shuffle that needs no sampling pass and comes out the same on any cluster.
 
-All of it is DataFrame functions. The rates are one row per source, joined by Spark's own choice of
-join; a hot source is only a hot key of that join, which adaptive execution splits. The size of a
-source and of the mixture is its number of rows, over all rows.
+All of it is DataFrame functions. A source's distribution function is tabulated once, a row per source;
+after a check of their number and size these rows are broadcast, so that texts are shuffled once, at the
+end. With more sources than that they are joined by shuffling; a hot source is then a hot key of that
+join, which adaptive execution splits. The size of a source and of the mixture is its number of rows,
+over all rows.
 
 Defined results: a null source is a source of its own (named ``None`` in ``weights``). A null text
 or id counts like any other value. Sources that ``weights`` does not name have weight 0 when weights are
@@ -35,25 +37,39 @@ def uniform(*parts: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, BITS // 4), 16, 10).cast("bigint").cast("double") / F.lit(float(1 << BITS))
 
 
-def terms(rate: float) -> int:
-    """Values that the count can take with a uniform number of 52 bits: the tail beyond is under 2**-53."""
-    return int(rate + 12 * rate**0.5 + 40)
+def _log_factorial(k: Column) -> Column:
+    """ln k! by Stirling's series, exact to a double's precision from k = 40 on."""
+    x = k.cast("double")
+    return x * F.ln(x) - x + F.ln(2 * F.pi() * x) / 2 + 1 / (12 * x) - 1 / (360 * x * x * x) + 1 / (1260 * x * x * x * x * x)
 
 
-def poisson(rate: Column, u: Column) -> Column:
-    """The least k with u < P(X <= k): a running sum of the distribution's terms.
+def distributions(rates: DataFrame) -> DataFrame:
+    """``__source``, ``__least`` and ``__below``: P(X <= k) for k from ``__least`` on, of a Poisson number X with mean ``__rate``.
 
-    ``exp(-rate)`` would vanish for rates beyond 700; those are added up from logarithms, term by term.
+    What lies below ``__least`` or beyond the last k is under 2**-53. So a source has some 24 square
+    roots of its rate entries, a rate of a million 24,000.
     """
-    last = (rate + 12 * F.sqrt(rate) + 40).cast("int")
-    start = F.struct(F.lit(0.0).alias("below"), F.lit(0.0).alias("logs"), F.lit(0).alias("k"))
+    spread = 12 * F.sqrt("__rate") + 40
+    ends = common.computed(
+        rates.filter("__rate > 0"), ["__source", "__rate"],
+        __least=F.greatest(F.lit(0).cast("bigint"), F.floor(F.col("__rate") - spread)), __last=F.floor(F.col("__rate") + spread),
+    )
+    steps = ends.withColumn("k", F.explode(F.sequence("__least", "__last")))
+    one = Window.partitionBy("__source").orderBy("k")
+    log = F.when(F.col("k") == F.col("__least"), F.when(F.col("k") > 0, _log_factorial(F.col("k"))).otherwise(0.0)).otherwise(F.ln(F.col("k").cast("double")))
+    logs = steps.withColumn("logs", F.sum(log).over(one))
+    below = logs.withColumn("p", F.sum(F.exp(F.col("k") * F.ln("__rate") - F.col("__rate") - F.col("logs"))).over(one))
+    rows = below.groupBy("__source", "__least").agg(F.array_sort(F.collect_list(F.struct("k", "p"))).alias("__all"))
+    return rows.select("__source", "__least", F.transform("__all", lambda x: x["p"]).alias("__below"))
 
-    def add(acc: Column, k: Column) -> Column:
-        logs = F.when(k > 0, acc["logs"] + F.ln(k.cast("double"))).otherwise(0.0)
-        below = acc["below"] + F.exp(k * F.ln(rate) - rate - logs)
-        return F.struct(below.alias("below"), logs.alias("logs"), (acc["k"] + F.when(below <= u, 1).otherwise(0)).alias("k"))
 
-    return F.when(rate > 0, F.aggregate(F.sequence(F.lit(0), last), start, add, lambda acc: acc["k"])).otherwise(0)
+def poisson(least: Column, below: Column, u: Column) -> Column:
+    """The least k with u < P(X <= k)."""
+    return (least + F.size(F.filter(below, lambda p: p <= u))).cast("int")
+
+
+#: Sources whose distributions are broadcast, and entries of these; beyond either bound sources are joined by shuffling.
+MOST_SOURCES, MOST_ENTRIES = 100_000, 4_000_000
 
 
 def mix(
@@ -78,19 +94,23 @@ def mix(
         weight = F.coalesce("__weight", F.lit(0.0))
     else:
         weight = F.lit(1.0)
-    every = Window.partitionBy(F.lit(1))  # over a row per source
-    share = F.try_divide(F.col("__w"), F.sum("__w").over(every))
-    rates = counts.withColumn("__w", weight).select(
-        "__source", F.coalesce(F.try_divide(share * size * F.sum("__n").over(every), F.col("__n")), F.lit(0.0)).alias("__rate")
+    counts = common.materialize(counts.select("__source", "__n", weight.alias("__w")), "mixing-sources")
+    total = counts.agg(F.sum("__w").alias("w"), F.sum("__n").alias("n")).first()
+    share = F.try_divide(F.col("__w"), F.lit(total.w))
+    rates = counts.select("__source", F.coalesce(F.try_divide(share * size * F.lit(total.n), F.col("__n")), F.lit(0.0)).alias("__rate"))
+    known = common.materialize(distributions(rates), "mixing-distributions")
+    bound = known.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.size("__below")), F.lit(0)).alias("entries")).first()
+    if bound.rows <= MOST_SOURCES and bound.entries <= MOST_ENTRIES:
+        known = F.broadcast(known)
+    rows = common.computed(
+        docs.withColumn("__source", source), [*docs.columns, "__source"], __digest=F.md5(F.coalesce(docs[text_column].cast("string"), F.lit("")))
     )
-    rows = docs.withColumn("__source", source).withColumn("__digest", F.md5(F.coalesce(docs[text_column].cast("string"), F.lit(""))))
-    joined = rows.join(rates, "__source")
-    u = uniform(F.lit(seed), F.col(id_column), F.col("__digest"))
-    wanted = joined.withColumn("__copies", poisson(F.col("__rate"), u)).filter("__copies > 0")
-    copies = wanted.withColumn(free["copy"], F.explode(F.sequence(F.lit(0), F.col("__copies") - 1)))
+    drawn = common.computed(rows, [*rows.columns], __u=uniform(F.lit(seed), F.col(id_column), F.col("__digest")))
+    wanted = common.computed(drawn.join(known, "__source"), [*docs.columns, "__digest"], __copies=poisson(F.col("__least"), F.col("__below"), F.col("__u")))
+    copies = wanted.filter("__copies > 0").withColumn(free["copy"], F.explode(F.sequence(F.lit(0), F.col("__copies") - 1)))
     keyed = copies.withColumn(free["shuffle_key"], F.md5(F.concat_ws("|", F.lit(f"{seed}s"), F.coalesce(F.col(id_column).cast("string"), F.lit("~")), F.col("__digest"), F.col(free["copy"]))))
-    dealt = keyed.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), free["shuffle_key"])
-    return dealt.sortWithinPartitions(free["shuffle_key"]).select(*docs.columns, *free.values())
+    dealt = keyed.select(*docs.columns, *free.values()).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), free["shuffle_key"])
+    return dealt.sortWithinPartitions(free["shuffle_key"])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

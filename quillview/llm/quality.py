@@ -34,12 +34,6 @@ LEAST_WORDS = 20
 MOST_REPEATED = 30  # per cent
 
 
-def materialized(df: DataFrame, keep: list[str], **columns: Column) -> DataFrame:
-    """Compute expressions once per row: a generator is a step that the optimizer doesn't fold away."""
-    fields = F.struct(*[c.alias(name) for name, c in columns.items()])
-    return df.select(*keep, F.inline(F.array(fields)))
-
-
 def words_of(text: Column) -> Column:
     return F.array_remove(F.split(text, "[ \\t-\\r]+"), "")
 
@@ -52,29 +46,29 @@ def lines_of(text: Column) -> Column:
 def base_counts(docs: DataFrame, text: Column, keep: list[str]) -> DataFrame:
     """``keep`` and n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
     lines = lines_of(text)
-    got = materialized(
+    got = common.computed(
         docs, keep, __words=words_of(text), n_symbols=F.regexp_count(text, F.lit("[" + SYMBOLS + "]")).cast("long"), n_dup_lines=(F.size(lines) - F.size(F.array_distinct(lines))).cast("long")
     )
     n = F.size("__words")
     counted = [*keep, "n_symbols", "n_dup_lines"]
-    hashed = materialized(got, counted, n_words=n.cast("long"), word_chars=F.length(F.array_join("__words", "")).cast("long"), __one=F.transform("__words", lambda w: F.xxhash64(w)))
+    hashed = common.computed(got, counted, n_words=n.cast("long"), word_chars=F.length(F.array_join("__words", "")).cast("long"), __one=F.transform("__words", lambda w: F.xxhash64(w)))
     counted += ["n_words", "word_chars"]
 
     # Items are fetched one by one: a slice would copy the whole array for each run.
     four = F.transform(F.sequence(F.lit(0), F.size("__one") - 4), lambda i: F.xxhash64(*[F.get("__one", i + k) for k in range(4)]))
-    fours = materialized(hashed, counted, __four=F.when(F.col("n_words") < WINDOW, F.array().cast("array<bigint>")).otherwise(four))
+    fours = common.computed(hashed, counted, __four=F.when(F.col("n_words") < WINDOW, F.array().cast("array<bigint>")).otherwise(four))
     # A window found twice holds WINDOW - 3 runs of four words that were there before.
     possible = F.size("__four") - F.size(F.array_distinct("__four")) >= WINDOW - 3
     eight = F.transform(F.sequence(F.lit(0), F.size("__four") - 5), lambda i: F.xxhash64(F.get("__four", i), F.get("__four", i + 4)))
-    hashed = materialized(fours, counted, __windows=F.when(possible, eight).otherwise(F.array().cast("array<bigint>")))
+    hashed = common.computed(fours, counted, __windows=F.when(possible, eight).otherwise(F.array().cast("array<bigint>")))
     # Windows found twice: sort (hash, place), compare neighbours. Few texts have any.
     twice = F.size(F.array_distinct("__windows")) < F.size("__windows")
-    ranked = materialized(hashed, counted, __sorted=F.when(twice, F.sort_array(F.transform("__windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
+    ranked = common.computed(hashed, counted, __sorted=F.when(twice, F.sort_array(F.transform("__windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
     equal = F.filter(
         F.zip_with("__sorted", F.slice("__sorted", 2, F.size("__sorted")), lambda a, b: F.when(a["h"] == b["h"], F.array(a["i"], b["i"]))),
         lambda x: x.isNotNull(),
     )
-    placed = materialized(ranked, counted, __places=F.when(F.col("__sorted").isNotNull(), F.sort_array(F.array_distinct(F.flatten(equal)))))
+    placed = common.computed(ranked, counted, __places=F.when(F.col("__sorted").isNotNull(), F.sort_array(F.array_distinct(F.flatten(equal)))))
     # Words covered by windows at these places: each adds the words up to the next one, 8 at most.
     covered = F.aggregate(
         F.zip_with("__places", F.slice("__places", 2, F.size("__places")), lambda a, b: F.when(b.isNull(), WINDOW).otherwise(F.least(F.lit(WINDOW), b - a))),

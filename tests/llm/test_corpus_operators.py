@@ -334,10 +334,37 @@ def test_a_number_of_texts_suffices_in_a_large_source(spark):
 
 
 def test_poisson_numbers(spark):
-    n = 4000
-    for rate in (0.3, 2.0, 900.0):
-        got = spark.range(n).select(mixing.poisson(F.lit(rate), mixing.uniform(F.col("id"))).alias("k")).agg(F.avg("k"), F.var_samp("k")).first()
-        assert abs(got[0] - rate) < 5 * (rate / n) ** 0.5 and abs(got[1] / rate - 1) < 0.15
+    n, rates = 4000, (0.3, 2.0, 900.0, 250_000.0)
+    known = mixing.distributions(spark.createDataFrame([(str(r), r) for r in rates], "__source string, __rate double"))
+    drawn = spark.range(n).withColumn("u", mixing.uniform(F.col("id"))).crossJoin(known)
+    got = drawn.groupBy("__source").agg(*[f(mixing.poisson(F.col("__least"), F.col("__below"), F.col("u"))) for f in (F.avg, F.var_samp)]).collect()
+    assert len(got) == 4
+    for rate, mean, spread in got:
+        assert abs(mean - float(rate)) < 5 * (float(rate) / n) ** 0.5 and abs(spread / float(rate) - 1) < 0.15
+
+
+@pytest.mark.parametrize("most", [100_000, 0])
+def test_mixture_equals_brute_force(spark, most, monkeypatch):
+    import hashlib
+    import math
+
+    monkeypatch.setattr(mixing, "MOST_SOURCES", most)
+    rows = [(k, f"t{k}", "abc"[(k % 7) // 3]) for k in range(700)] + [(3, "t3", "a"), (None, None, None), (None, None, None), (901, "word " * 50_000, "c")]
+    n = Counter(s for *_, s in rows)
+    md5 = lambda t: hashlib.md5(t.encode()).hexdigest()
+    want: Counter = Counter()
+    for i, t, s in rows:
+        rate, u, k = len(rows) / 4 / n[s], int(md5(f"17|{'~' if i is None else i}|{md5(t or '')}")[:13], 16) / 2**52, 0
+        term = below = math.exp(-rate)
+        while below <= u:
+            k += 1
+            term *= rate / k
+            below += term
+        want.update((i, t, s, c) for c in range(k))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(docs).select("doc_id", "text", "source", "copy")
+    assert Counter(map(tuple, got.collect())) == want
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("RepartitionByExpression") == 1
 
 
 def test_mixture_meets_weights(spark):
