@@ -290,6 +290,51 @@ def test_groups_stay_together(spark):
     assert all(len(s) == 1 for s in shards.values())
 
 
+@pytest.mark.parametrize("bins", [6, 4096])
+def test_packing_equals_brute_force(spark, bins):
+    rnd = random.Random(9)
+    texts = [" ".join("w" * rnd.randint(1, 9) for _ in range(3 * k + 1)) for k in range(90)]
+    docs = [(n, texts[k]) for n, k in enumerate(k for k in range(90) for _ in range(1 + k % 4))]
+    rnd.shuffle(docs)
+    shards = 5
+    groups = [[(len(t.encode()) + 8) * n, len(t.split()) * n, n] for t, n in Counter(t for _, t in docs).items()]
+    names = list(Counter(t for _, t in docs))
+    total = [sum(g[k] for g in groups) for k in range(3)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    digest = {r.text: (r.a, r.b) for r in df.select("text", F.xxhash64("text").alias("a"), F.xxhash64(F.lit(1), "text").alias("b")).collect()}
+
+    def greedy(chosen, room, unit, out):
+        for g in sorted(chosen, key=lambda g: (-max(groups[g][k] / unit[k] for k in range(3)), digest[names[g]])):
+            need = [groups[g][k] / unit[k] for k in range(3)]
+            fit = [4 * need[0] * r[0] + need[1] * r[1] + need[2] * r[2] for r in room]
+            at = fit.index(max(fit))
+            room[at] = [a - b for a, b in zip(room[at], need, strict=True)]
+            out[names[g]] = at
+
+    heavy = [g for g in range(len(groups)) if groups[g][0] * bins > total[0] or groups[g][2] * bins > total[2]]
+    light = [g for g in range(len(groups)) if g not in heavy]
+    want, room = {}, [[1.0] * 3 for _ in range(shards)]
+    greedy(heavy, room, [t / shards for t in total], want)
+    left = [sum(max(r[k], 0.0) for r in room) or 1.0 for k in range(3)]
+    room = [[max(r[k], 0.0) / left[k] * shards for k in range(3)] for r in room]
+    greedy(light, room, [sum(groups[g][k] for g in light) / shards or 1.0 for k in range(3)], want)
+    text = dict(docs)
+    got = sharding.shard(df, shards=shards, bins=bins).collect()
+    assert len(got) == len(docs) and all(r["shard"] == want[text[r.doc_id]] for r in got)
+
+
+def test_shards_in_several_parts(spark):
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.repeat(F.concat(F.lit("t"), F.col("id") % 1000), 1 + F.col("id").cast("int") % 5).alias("text"))
+    rows = sharding.shard(docs, shards=7, bins=400, part_groups=150).collect()
+    shards, slots, size = defaultdict(set), defaultdict(list), Counter()
+    for r in rows:
+        shards[r.text_crc32, r.size].add(r["shard"])
+        slots[r["shard"]].append(r.slot)
+        size[r["shard"]] += r.size
+    assert all(len(s) == 1 for s in shards.values()) and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert max(size.values()) < 1.02 * min(size.values())
+
+
 def test_shards_of_nothing(spark):
     assert sharding.shard(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
