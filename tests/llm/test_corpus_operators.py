@@ -249,6 +249,53 @@ def test_articles_of_the_table(spark):
         assert got[r.page_id] == (text, len(text))
 
 
+class Flat(html_main.Weights):
+    """Scoring off: every word counts one, tags nothing."""
+
+    def score(self, token):
+        return float(len(token[0].split())) if token[1] == "w" else 0.0
+
+    def factor(self, around):
+        return 1.0
+
+
+def test_scoring_finds_the_article_where_no_tag_marks_it(spark, monkeypatch):
+    import re
+
+    pages = [r.html for r in spark.read.parquet(f"{SF}/pages.parquet").collect()]
+    train, rest = pages[:25], pages[25:]
+    bare = [re.sub("</?article>", "", p) for p in rest]
+    want = [html_main.extract(p, html_main.fit(train)) for p in rest]
+    monkeypatch.setattr(html_main, "SELDOM_CLASSES", set())
+    monkeypatch.setattr(html_main, "SELDOM_ELEMENTS", set())
+    assert [html_main.extract(p, html_main.Weights()) for p in bare] != want
+    monkeypatch.undo()
+    monkeypatch.setattr(html_main, "SELDOM_CLASSES", set())
+    assert [html_main.extract(p, html_main.fit(train)) for p in bare] == want
+    assert not any(a == b for a, b in zip([html_main.extract(p, Flat()) for p in bare], want, strict=True))
+
+
+def test_classes_inside_articles(spark):
+    page = (
+        "<div class='notice'>we use cookies here</div><article><h1>Head</h1><p class='notice'>mind the gap</p><div class='related-work'><p>others did this before us</p></div>"
+        "<section class='social'><p>people meet</p></section><aside>side words</aside><p>the end</p></article><div class='comments'><p>nice post nice post nice post</p></div>"
+    )
+    text = "Head\nmind the gap\nothers did this before us\npeople meet\nthe end"
+    for weights in (html_main.Weights(), html_main.fit([page])):
+        assert html_main.extract(page, weights) == text
+        assert html_main.extract(page.replace("article>", "div>"), weights) == text
+    assert html_main.fit([page.replace("related-work", "sidebar")] * 30).factor((".sidebar",)) > 0
+
+
+def test_equal_runs_give_the_first():
+    assert html_main.best_run([1.0, -1.0, 1.0]) == (0, 1) and html_main.best_run([0.0, 2.0, 0.0, -3.0, 2.0]) == (1, 2) and html_main.best_run([]) == (0, 0)
+    scores = [random.Random(k).choice([-2.0, -1.0, 0.0, 1.0, 2.0]) for k in range(300)]
+    for lo in range(0, 280, 7):
+        part = scores[lo : lo + 20]
+        found = html_main.best_run(part)
+        assert sum(part[slice(*found)]) == max(sum(part[i:j]) for i in range(20) for j in range(i, 21))
+
+
 def test_rare_labelled_pages_are_sampled(spark, monkeypatch):
     plain, hidden = "<div><p>some words <i>and</i> others</p></div>", "<script>x = '<main>'</script><!-- <article> --><p>words</p>"
     rows = [(k, "u", f"{hidden if k % 2 else plain}{k}") for k in range(3000)]
