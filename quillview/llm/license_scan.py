@@ -4,9 +4,10 @@ The automaton is built once over the word sequences of all templates. A text is
 it word by word; at each word the state holds the longest run of words, ending there, that occurs
 in some template. Runs that no longer word extends are the maximal matches. In those of at least
 ``min_words`` words, each template's own matches are placed and the heaviest chain of them, rising in
-text and template, is its cover; a template is reported once that is enough of it. Templates are whole
-licence texts (``licences/``), notices and openings. Of templates that share most words (GPL and LGPL
-notices, BSD licences) one gives way to another that explains more of the same words of the text. Short phrases (the base labels) are found by
+text and template, is its cover; a template is reported once that is enough of it, those of under ten
+words only whole. Templates are whole licence texts (``licences/``), notices, and names of licences with
+their versions, made by rule. Of templates that share most words (GPL and LGPL notices, BSD licences) one
+gives way to another that explains more of the same words of the text. Short phrases (the base labels) are found by
 the same pass: a phrase stands at a place exactly when the automaton, at the phrase's last word, is
 in a state whose longest suffix chain contains the phrase.
 
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import common
 
-# Phrases with their labels, then notices and openings, then whole licences.
+# Phrases with their labels, then notices and sentences, names, whole licences.
 PHRASES = {
     "gnu general public license": "gpl",
     "apache license": "apache",
@@ -36,12 +37,6 @@ PHRASES = {
     "mit license": "mit",
 }
 TEMPLATES = {
-    "apache-2.0": "Licensed under the Apache License, Version 2.0",
-    "gpl-3.0": "This work is licensed under the GNU General Public License, version 3",
-    "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0",
-    "cc-by-4.0": "Licensed under CC BY 4.0",
-    "cc-by-sa-4.0": "Licensed under CC BY-SA 4.0",
-    "mit-line": "Released under the MIT License",
     "mit-text": (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
         'software and associated documentation files (the "Software"), to deal in the Software '
@@ -65,16 +60,56 @@ TEMPLATES = {
         "the GNU Affero General Public License as published by the Free Software Foundation"
     ),
     "apache-notice": (
-        "you may not use this file except in compliance with the License. You may obtain a copy of "
-        "the License at"
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance '
+        "with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless "
+        "required by applicable law or agreed to in writing, software distributed under the License is distributed on an "
+        '"AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the '
+        "specific language governing permissions and limitations under the License."
+    ),
+    "mpl-2.0-notice": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
+        "not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."
     ),
-    "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
 }
+# Names of licences with their versions: kind, name, versions; and of Creative Commons, written short and long.
+NAMES = (
+    ("gpl", "GNU General Public License", ("1", "2", "3")),
+    ("lgpl", "GNU Library General Public License", ("2",)),
+    ("lgpl", "GNU Lesser General Public License", ("2.1", "3")),
+    ("agpl", "GNU Affero General Public License", ("1", "3")),
+    ("gfdl", "GNU Free Documentation License", ("1.1", "1.2", "1.3")),
+    ("apache", "Apache License", ("1.0", "1.1", "2.0")),
+    ("mpl", "Mozilla Public License", ("1.0", "1.1", "2.0")),
+    ("epl", "Eclipse Public License", ("1.0", "2.0")),
+    ("eupl", "European Union Public Licence", ("1.0", "1.1", "1.2")),
+)
+COMMONS = {"": "", "NC": "NonCommercial", "SA": "ShareAlike", "ND": "NoDerivatives", "NC-SA": "NonCommercial-ShareAlike", "NC-ND": "NonCommercial-NoDerivatives"}
+
+
+def named_templates() -> dict[str, list[str]]:
+    """label -> how the licence's name and version are written."""
+    out: dict[str, list[str]] = {}
+    for kind, name, versions in NAMES:
+        for v in versions:
+            label = f"{kind}-{v if '.' in v else v + '.0'}"
+            out.setdefault(label, []).extend([f"{name}, version {v}", f"{name} {v}", f"{name} v{v}"])
+    for short, long in COMMONS.items():
+        for v in ("1.0", "2.0", "2.5", "3.0", "4.0"):
+            label = "-".join(filter(None, ("cc-by", short.lower(), v)))
+            out[label] = [f"CC {'-'.join(filter(None, ('BY', short)))} {v}", f"Creative Commons {'-'.join(filter(None, ('Attribution', long)))} {v}"]
+    return out
+
+
+#: Templates under this many words are names and numbers: nothing of them may be missing.
+SHORT = 10
 #: Licences in ``licences/``, without copyright lines; their labels end in ``-whole-text``.
 WHOLE = (
     "0bsd", "apache-2.0", "artistic-1.0", "bsd-2-clause", "bsd-3-clause", "cc0-1.0", "gfdl-1.2", "gfdl-1.3", "gpl-1.0", "gpl-2.0", "gpl-3.0",
     "isc", "lgpl-2.0", "lgpl-2.1", "lgpl-3.0", "mit", "mpl-1.1", "mpl-2.0", "unicode-3.0", "unlicense", "zlib",
 )
+for _label, _written in named_templates().items():
+    for _k, _text in enumerate(_written):  # trailing spaces tell ways of writing apart, a label has none
+        TEMPLATES[f"{_label}{' ' * _k}"] = _text
 for _name in WHOLE:
     TEMPLATES[f"{_name}-whole-text"] = resources.files(__package__).joinpath("licences", f"{_name}.txt").read_text("utf-8")
 #: Bytes that separate words, and A-Z, go through one translation table.
@@ -144,6 +179,10 @@ class SuffixAutomaton:
         return state
 
 
+SPAN = pa.struct([("first", pa.int64()), ("end", pa.int64()), ("covered", pa.int64()), ("label", pa.string())])
+Span = tuple[int, int, int, str]  # first word, word after the last, words covered, label
+
+
 class Scanner:
     """Templates and phrases compiled for scanning; holds nothing that grows with the corpus."""
 
@@ -152,7 +191,7 @@ class Scanner:
         self.vocabulary: dict[bytes, int] = {}
         number = lambda text: [self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words(text.encode())]
         self.phrases = [(number(p), label) for p, label in phrases.items()]
-        self.templates = [(label, number(t)) for label, t in templates.items()]
+        self.templates = [(label.rstrip(), number(t)) for label, t in templates.items()]
         self.machine = SuffixAutomaton()
         for sequence in [p for p, _ in self.phrases] + [t for _, t in self.templates]:
             self.machine.add(sequence)
@@ -170,7 +209,7 @@ class Scanner:
             for i in range(len(sequence) - min_words + 1):
                 self.places.setdefault(tuple(sequence[i : i + min_words]), []).append((t, i))
 
-    def scan(self, text: bytes) -> tuple[int, int, int | None, int | None, list[str], list[str], float]:
+    def scan(self, text: bytes) -> tuple[int, int, int | None, int | None, list[str], list[str], float, list[Span]]:
         found = words(text)
         get = self.vocabulary.get
         ids = [get(w, -1) for w in found]
@@ -197,10 +236,13 @@ class Scanner:
         chains = self.chains(ids, runs)
         cover = {t: sum(size for _, size in c) / len(self.templates[t][1]) for t, c in chains.items()}
         base = sorted({self.phrases[k][1] for _, k in hits})
-        own = {self.templates[t][0] for t in self.best({t: chains[t] for t, part in cover.items() if part >= self.min_cover}, cover)}
+        enough = lambda t: cover[t] >= (1.0 if len(self.templates[t][1]) < SHORT else self.min_cover)
+        chosen = self.best({t: c for t, c in chains.items() if enough(t)}, cover)
+        own = {self.templates[t][0] for t in chosen}
+        spans = sorted((chains[t][0][0], sum(chains[t][-1]), sum(size for _, size in chains[t]), self.templates[t][0]) for t in chosen)
         score = max([*cover.values(), 1.0 if hits else 0.0, 0.0])
         starts = [s for s, _ in hits]
-        return len(ids), len(hits), min(starts, default=None), max(starts, default=None), base, sorted(own | set(base)), min(1.0, score)
+        return len(ids), len(hits), min(starts, default=None), max(starts, default=None), base, sorted(own | set(base)), min(1.0, score), spans
 
     def chains(self, ids: list[int], runs: list[tuple[int, int]]) -> dict[int, list[tuple[int, int]]]:
         """For each template met, its heaviest chain of matches: start in the text and size."""
@@ -252,9 +294,14 @@ class Scanner:
 
     @staticmethod
     def best(chains: dict[int, list[tuple[int, int]]], cover: dict[int, float]) -> list[int]:
-        """Templates that no other explains better: with more words of their stretch of the text, or as many and more cover."""
+        """Templates that no other explains better: with more words of their stretch of the text, or as many and more cover.
+
+        A template that stands in the text whole and in one piece gives way to none.
+        """
 
         def loses(a: int, b: int) -> bool:
+            if len(chains[a]) == 1 and cover[a] == 1.0:
+                return False
             start, end = chains[a][0][0], sum(chains[a][-1])
             mine = sum(size for _, size in chains[a])
             other = sum(max(0, min(end, s + size) - max(start, s)) for s, size in chains[b])
@@ -272,7 +319,8 @@ def scan_licenses(
     min_words: int = 3,
     min_cover: float = 0.8,
 ) -> DataFrame:
-    """One row per input row: word count, base hits, labels and the best template coverage.
+    """One row per input row: word count, base hits, labels, the best template coverage and the ``spans`` of the
+    text that templates cover: first word, word after the last, words covered between them, label.
 
     ``min_words``: least length of a match that takes part in a chain; ``min_cover``: share of a
     template that a chain must cover for the template's label. Both hold for texts of any length.
@@ -290,15 +338,17 @@ def scan_licenses(
                 *(pa.array(c, pa.int64()) for c in cols[:4]),
                 *(pa.array([",".join(x) for x in c], pa.string()) for c in cols[4:6]),
                 pa.array(cols[6], pa.float64()),
+                pa.array([[dict(zip(("first", "end", "covered", "label"), x, strict=True)) for x in c] for c in cols[7]], pa.list_(SPAN)),
             ],
-            names=[id_column, "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"],
+            names=[id_column, "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "spans"],
         )
 
     kind = docs.schema[id_column].dataType.simpleString()
     return common.map_rows(
         docs.select(id_column, docs[text_column].cast("string").alias("text")),
         one,
-        f"{id_column} {kind}, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double",
+        f"{id_column} {kind}, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, "
+        "spans array<struct<first:bigint,end:bigint,covered:bigint,label:string>>",
     )
 
 

@@ -165,6 +165,48 @@ def test_whole_licences():
         assert f"{name}-whole-text" not in labels(" ".join(w[: len(w) // 2]))
 
 
+def test_names_and_nested_templates():
+    s = license_scan.Scanner(license_scan.PHRASES, license_scan.TEMPLATES, 3, 0.8)
+    own = lambda text: s.scan(text.encode())[5]
+    assert own("under CC BY-NC-SA 4.0 only") == ["cc-by", "cc-by-nc-sa-4.0"] and own("the GNU General Public License, version 2") == ["gpl", "gpl-2.0"]
+    assert own("the GNU General Public License, version x") == ["gpl"] and own("Creative Commons Attribution-NoDerivatives 3.0") == ["cc-by-nd-3.0"]
+    two = license_scan.Scanner({}, {"long": "x y z w v", "short": "y z w"}, 3, 0.8)
+    assert two.scan(b"a x y z w v b")[5] == ["long", "short"]
+    assert two.scan(b"a x y z w v b")[7] == [(1, 6, 5, "long"), (2, 5, 3, "short")]
+
+
+def test_covered_words_equal_brute_force():
+    rnd = random.Random(21)
+    for _ in range(150):
+        templates = {str(k): " ".join(rnd.choice("abcd") for _ in range(rnd.randint(3, 25))) for k in range(4)}
+        text = " ".join(rnd.choice("abcde") for _ in range(60))
+        s = license_scan.Scanner({}, templates, 3, 0.8)
+        w, want = text.split(), {}
+        for t, template in enumerate(templates.values()):
+            x, found = template.split(), []
+            for j in range(len(w)):
+                for i in range(len(x)):
+                    n = 0
+                    while j + n < len(w) and i + n < len(x) and w[j + n] == x[i + n]:
+                        n += 1
+                    if n >= 3 and not (i and j and w[j - 1] == x[i - 1]):
+                        found.append((j, i, n))
+            best: list[int] = []
+            for k, (j, i, n) in enumerate(sorted(found)):
+                before = [best[m] for m, (a, b, c) in enumerate(sorted(found)[:k]) if a + c <= j and b + c <= i]
+                best.append(n + max(before, default=0))
+            if found:
+                want[t] = max(best)
+        ids = [s.vocabulary.get(x.encode(), -1) for x in w]
+        runs, state, length = [], 0, 0
+        for i, word in enumerate([*ids, -1]):
+            before = length
+            state, length = s.machine.step(state, length, word) if word >= 0 else (0, 0)
+            if before >= 3 and length <= before:
+                runs.append((i - before, before))
+        assert {t: sum(n for _, n in c) for t, c in s.chains(ids, runs).items()} == want
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert license_scan.scan_licenses(none).count() == 0
