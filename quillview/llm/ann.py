@@ -1,30 +1,36 @@
 """Approximate nearest neighbours by largest inner product: a forest of random-projection trees.
 
-Vectors are dealt by hash into shards of about ``shard_rows``; each shard is one task's work whatever
-the size of the table. A task builds ``trees`` trees over all of its shard's vectors: a node splits its
-points at the median of their projections on the difference of two cluster centres. All trees are
-searched through one priority queue, ordered by the smallest margin on the way to a node, until
-``search_part`` of the shard's vectors have been met in leaves; these candidates are reranked
-exactly. Nothing is fitted outside a shard, so the index holds every row. Shards' results are merged
-by a window over at most ``k`` rows per query and shard.
+The table is dealt into shards of about ``shard_rows`` by the first levels of one tree, fitted on a
+bounded sample of ``SAMPLE_VALUES`` components at most; every row is indexed. A leaf of it with more rows, as
+many near-equal vectors make one, is split further by hash, so a shard is one task's work whatever the
+table holds. A query visits the shards of its nearest leaves. In a shard, ``trees`` trees are built over
+all of its vectors: a node splits its points at the median of their projections on the difference of
+two cluster centres. All trees are searched through one priority queue, ordered by the smallest margin
+on the way to a node, until enough vectors have been met in leaves; these candidates are reranked
+exactly. Shards' results are merged by a window over at most ``k`` rows per query and shard.
+
+How many leaves a query visits, and how many vectors of a shard are met, is calibrated, by the same
+rule at every size, to ``target`` recall: up to ``CALIBRATION`` vectors, of the sample for the first and of the
+shard for the second, are taken for queries, their exact neighbours in the sample or shard are computed
+and the places noted at which the search meets them. Vectors without any structure, uniform on a sphere in 64
+dimensions, are the hardest case and need more than half of the points; clustered ones need few.
+``examined`` says how many vectors were met for a query in all its shards.
 
 Inner products become distances by one more coordinate, ``sqrt(longest^2 - length^2)``, 0 for queries.
 Equal vectors of a shard are one point of the index, with the ``k + 1`` smallest ids: no more can ever
 be among a query's ``k``.
 
-The part to search sets recall. Vectors without any structure, uniform on a sphere in 64 dimensions, are
-the hardest case: there 0.55 of the points give a recall of about 0.95; clustered vectors need less.
-
 Defined results: a vector that is null, empty, all zero, holds null, NaN or infinite components, or
 differs in length from most vectors, takes no part; nor does a row with a null id. Rows with a
 query's own id are not its candidates. Ties go to the smaller id. With fewer than ``k`` candidates all
-are returned. Of rows alike in id and vector one counts. An empty table gives an empty result; other
-columns are ignored.
+that were met are returned, all there are in a table of one shard. Of rows alike in id and vector one
+counts. An empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,9 +39,12 @@ from pyspark.sql import functions as F
 
 from . import common
 
-QUERY_BLOCK = 4096
-#: Candidates of a query in a shard, for each of the k wanted, at the least: small shards are searched whole.
-LEAST = 64
+#: Queries of a shard that one task answers; building the shard's forest takes a hundredth of that time.
+QUERY_BLOCK = 16384
+#: Components of the sample that the shards' tree is fitted on, and leaves that it has at the most.
+SAMPLE_VALUES, MOST_LEAVES = 1 << 20, 1024
+#: Vectors that a number of leaves, and of vectors in a shard, is calibrated on.
+CALIBRATION = 48
 
 
 class Tree:
@@ -89,24 +98,24 @@ class Tree:
         return None
 
 
+def lifted(x: np.ndarray, longest: float) -> np.ndarray:
+    """Vectors with the coordinate that makes the largest inner product the least distance."""
+    return np.hstack([x, np.sqrt(np.maximum(longest - np.einsum("ij,ij->i", x, x), 0.0))[:, None]])
+
+
 class Forest:
     def __init__(self, x: np.ndarray, trees: int, leaf: int, seed: int) -> None:
-        lengths = np.einsum("ij,ij->i", x, x)
-        lift = np.sqrt(np.maximum(lengths.max() - lengths, 0.0))
         self.x = x
-        lifted = np.hstack([x, lift[:, None]]) if lift.max() > 1e-6 * np.sqrt(lengths.max()) else x
-        self.lifted = lifted.shape[1] > x.shape[1]
-        self.trees = [Tree(lifted, leaf, np.random.default_rng([seed, t])) for t in range(trees)]
+        at = lifted(x, float(np.einsum("ij,ij->i", x, x).max()))
+        self.trees = [Tree(at, leaf, np.random.default_rng([seed, t])) for t in range(trees)]
 
-    def candidates(self, query: np.ndarray, want: int) -> np.ndarray:
-        """Points of the leaves met, nearest leaves of all trees first, until there are ``want``."""
-        q = np.append(query, 0.0) if self.lifted else query
+    def leaves(self, query: np.ndarray) -> Iterator[np.ndarray]:
+        """Points of the leaves of all trees, nearest leaves first."""
+        q = np.append(query, 0.0)
         margins = [(t.plane @ q - t.cut).tolist() if len(t.cut) else [] for t in self.trees]
         queue = [(0.0, t, tree.root) for t, tree in enumerate(self.trees)]
-        met = np.zeros(len(self.x), bool)
-        count = 0
         push, pop = heapq.heappush, heapq.heappop
-        while queue and count < want:
+        while queue:
             worst, t, node = pop(queue)
             tree, margin = self.trees[t], margins[t]
             while node >= 0:
@@ -114,13 +123,85 @@ class Forest:
                 far, near = tree.children[node] if m > 0 else tree.children[node][::-1]
                 push(queue, (max(worst, abs(m)), t, far))
                 node = near
-            points = tree.leaves[-node - 1]
+            yield tree.leaves[-node - 1]
+
+    def candidates(self, query: np.ndarray, want: int) -> np.ndarray:
+        """Points met until there are ``want``."""
+        met = np.zeros(len(self.x), bool)
+        count = 0
+        for points in self.leaves(query):
             count += len(points) - int(np.count_nonzero(met[points]))
             met[points] = True
+            if count >= want:
+                break
         return np.flatnonzero(met)
 
+    def met_at(self, query: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+        """How many points have been met when each of ``wanted`` is."""
+        met = np.zeros(len(self.x), bool)
+        at = np.full(len(wanted), -1)
+        count = 0
+        for points in self.leaves(query):
+            count += len(points) - int(np.count_nonzero(met[points]))
+            met[points] = True
+            at[(at < 0) & met[wanted]] = count
+            if (at >= 0).all():
+                break
+        return at
 
-def _search(index: pa.Table, queries: pa.Table, k: int, trees: int, leaf: int, part: float, schema: pa.Schema) -> pa.Table:
+    def enough(self, queries: np.ndarray, k: int, target: float) -> int:
+        """Points to be met so that ``target`` of all these queries' ``k`` nearest are among them."""
+        k = min(k, len(self.x))
+        places = [self.met_at(q, np.argpartition(-(self.x @ q), k - 1)[:k]) for q in queries]
+        return int(np.quantile(np.concatenate(places), target, method="higher"))
+
+
+class Router:
+    """The first levels of a tree, which deal vectors into leaves; fitted on a sample."""
+
+    def __init__(self, sample: np.ndarray, longest: float, leaves: int, k: int, target: float) -> None:
+        self.longest = longest
+        at = lifted(sample, longest)
+        self.tree = Tree(at, max(1, -(-len(sample) // leaves)), np.random.default_rng(5))
+        self.children = np.array(self.tree.children or [[-1, -1]])
+        self.size = len(self.tree.leaves)
+        self.reach = self.size
+        if self.size > 1:
+            some = sample[:: max(1, len(sample) // CALIBRATION)][:CALIBRATION]
+            leaf = self.leaf_of(sample)
+            places = []
+            for q in some:
+                place = np.empty(self.size, np.int64)
+                place[self.nearest(q)] = np.arange(self.size)
+                places.append(place[leaf[np.argsort(-(sample @ q), kind="stable")[1 : k + 1]]])
+            self.reach = 1 + int(np.quantile(np.concatenate(places), target, method="higher"))
+
+    def leaf_of(self, x: np.ndarray) -> np.ndarray:
+        at = lifted(x, self.longest)
+        node = np.full(len(x), self.tree.root)
+        while (inner := np.flatnonzero(node >= 0)).size:
+            n = node[inner]
+            upper = np.einsum("ij,ij->i", at[inner], self.tree.plane[n]) > self.tree.cut[n]
+            node[inner] = self.children[n, upper.astype(int)]
+        return -node - 1
+
+    def nearest(self, query: np.ndarray) -> list[int]:
+        """Leaves, the nearest first."""
+        if self.size == 1:
+            return [0]
+        margin = (self.tree.plane @ np.append(query, 0.0) - self.tree.cut).tolist()
+        queue, out = [(0.0, self.tree.root)], []
+        while queue:
+            worst, node = heapq.heappop(queue)
+            while node >= 0:
+                far, near = self.tree.children[node] if margin[node] > 0 else self.tree.children[node][::-1]
+                heapq.heappush(queue, (max(worst, abs(margin[node])), far))
+                node = near
+            out.append(-node - 1)
+        return out
+
+
+def _search(index: pa.Table, queries: pa.Table, k: int, trees: int, leaf: int, target: float, schema: pa.Schema) -> pa.Table:
     if not index.num_rows or not queries.num_rows:
         return schema.empty_table()
     matrix = lambda t: np.stack(t.column("v").to_numpy())
@@ -133,10 +214,13 @@ def _search(index: pa.Table, queries: pa.Table, k: int, trees: int, leaf: int, p
     ids, of = ids[first], of[first]
     starts = np.searchsorted(of, np.arange(len(x) + 1))
     forest = Forest(x, trees, leaf, 7)
-    want = max(LEAST * k, int(np.ceil(part * len(x))))
+    queries = queries.sort_by([("key", "ascending"), ("id", "ascending")])
+    asked = matrix(queries)
+    want = max(k + 1, forest.enough(x[:: max(1, len(x) // CALIBRATION)][:CALIBRATION], k + 1, target))
     out: list[tuple[np.ndarray, ...]] = []
-    for own, key, q in zip(queries.column("id").to_pylist(), queries.column("key").to_pylist(), matrix(queries), strict=True):
+    for own, key, q in zip(queries.column("id").to_pylist(), queries.column("key").to_pylist(), asked, strict=True):
         found = forest.candidates(q, want)
+        n_met = len(found)
         near = x[found] @ q
         if len(found) > k + 1:
             # Rounding of this first product must not decide: a little more is kept than is needed.
@@ -149,7 +233,9 @@ def _search(index: pa.Table, queries: pa.Table, k: int, trees: int, leaf: int, p
         other = near_ids != own
         score, near_ids = score[other], near_ids[other]
         best = np.lexsort((near_ids, -score))[:k]
-        out.append((np.full(len(best), key), np.full(len(best), own), near_ids[best], score[best]))
+        met = np.zeros(len(best), np.int64)
+        met[:1] = n_met
+        out.append((np.full(len(best), key), np.full(len(best), own), near_ids[best], score[best], met))
     return pa.Table.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], schema=schema)
 
 
@@ -161,10 +247,10 @@ def nearest(
     vector_column: str = "embedding",
     trees: int = 16,
     leaf: int = 64,
-    search_part: float = 0.55,
+    target: float = 0.95,
     shard_rows: int = 8192,
 ) -> DataFrame:
-    """``query_id``, ``rank`` (from 1), ``id_column`` and ``score`` of each query's ``k`` nearest found."""
+    """``query_id``, ``rank`` (from 1), ``id_column`` and ``score`` of each query's ``k`` nearest found, and ``examined``."""
 
     def usable(df: DataFrame) -> DataFrame:
         v = F.col("v")
@@ -173,23 +259,49 @@ def nearest(
         return rows.filter(F.col("id").isNotNull() & v.isNotNull() & ~bad & F.exists(v, lambda c: c != 0))
 
     index = usable(vectors)
-    lengths = index.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
-    dim, n = (lengths[0].d, lengths[0]["count"]) if lengths else (0, 0)
+    square = F.aggregate("v", F.lit(0.0), lambda s, c: s + c * c)
+    lengths = index.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n"), F.max(square).alias("longest")).orderBy(F.desc("n"), "d").limit(1).collect()
+    dim, n, longest = lengths[0] if lengths else (0, 0, 0.0)
     index, asked = index.filter(F.size("v") == dim), usable(queries).filter(F.size("v") == dim).distinct()
-    shards = max(1, -(-n // shard_rows))
-    blocks = max(1, -(-asked.count() // QUERY_BLOCK))
-    # Every query meets every shard, and a shard is read once per block of queries.
+    leaves = max(1, min(MOST_LEAVES, n // shard_rows))
     key = F.xxhash64("id", "v")
-    left = index.withColumn("shard", F.pmod(key, F.lit(shards))).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-    right = asked.withColumn("key", key).withColumn("block", F.pmod("key", F.lit(blocks))).withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
-    schema = pa.schema([("key", pa.int64()), ("query_id", pa.int64()), ("near", pa.int64()), ("score", pa.float64())])
+    if leaves > 1:
+        rows = max(2 * leaves, SAMPLE_VALUES // dim)
+        # Only about four times the sample passes the hash.
+        some = index.filter(F.pmod(key, F.lit(1 << 30)) <= int(min(1.0, 4.0 * rows / n) * (1 << 30)))
+        sample = np.array([r.v for r in some.orderBy(key, "id").limit(rows).select("v").collect()])
+    else:
+        sample = np.zeros((1, max(1, dim)))
+    router = Router(sample, longest, leaves, k, target**0.5 if leaves > 1 else 1.0)
+    target = target**0.5 if leaves > 1 else target
+
+    def deal(batch: pa.RecordBatch) -> pa.RecordBatch:
+        leaf = router.leaf_of(np.stack(batch.column(1).to_numpy(zero_copy_only=False))) if router.size > 1 else np.zeros(batch.num_rows, np.int64)
+        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaf, pa.int32())], names=["id", "v", "leaf"])
+
+    def visit(batch: pa.RecordBatch) -> pa.RecordBatch:
+        lists = [router.nearest(q)[: router.reach] for q in np.stack(batch.column(1).to_numpy(zero_copy_only=False))]
+        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(lists, pa.list_(pa.int32()))], names=["id", "v", "leaves"])
+
+    dealt = common.materialize(common.map_rows(index, deal, "id long, v array<double>, leaf int"), "ann-index")
+    visits = common.map_rows(asked, visit, "id long, v array<double>, leaves array<int>")
+    # A row per leaf, MOST_LEAVES at the most.
+    sizes = F.broadcast(dealt.groupBy("leaf").agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / shard_rows)).cast("int").alias("shards")))
+    blocks = max(1, -(-asked.count() // QUERY_BLOCK))
+    # A shard is read once per block of queries.
+    left = dealt.join(sizes, "leaf").select("id", "v", "leaf", F.pmod(key, F.col("shards")).cast("int").alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+    asking = visits.select("id", "v", key.alias("key"), F.explode("leaves").alias("leaf")).join(sizes, "leaf")
+    right = asking.select("id", "v", "key", "leaf", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), F.pmod("key", F.lit(blocks)).cast("int").alias("block"))
+    schema = pa.schema([("key", pa.int64()), ("query_id", pa.int64()), ("near", pa.int64()), ("score", pa.float64()), ("met", pa.int64())])
+    one = ("leaf", "shard", "block")
     found = (
-        left.groupBy("shard", "block")
-        .cogroup(right.groupBy("shard", "block"))
-        .applyInArrow(lambda a, b: _search(a, b, k, trees, leaf, search_part, schema), "key long, query_id long, near long, score double")
+        left.groupBy(*one)
+        .cogroup(right.groupBy(*one))
+        .applyInArrow(lambda a, b: _search(a, b, k, trees, leaf, target, schema), "key long, query_id long, near long, score double, met long")
     )
-    order = Window.partitionBy("key", "query_id").orderBy(F.desc("score"), "near")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", F.col("near").alias(id_column), "score")
+    each = Window.partitionBy("key", "query_id")
+    ranked = found.withColumn("examined", F.sum("met").over(each)).withColumn("rank", F.row_number().over(each.orderBy(F.desc("score"), "near")))
+    return ranked.filter(F.col("rank") <= k).select("query_id", "rank", F.col("near").alias(id_column), "score", "examined")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

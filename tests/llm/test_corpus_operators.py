@@ -197,10 +197,29 @@ def test_recall_of_the_registered_query_in_full_shards(spark, tmp_path):
     assert len(found) == 25 and hits >= 0.9 * 20 * 25
 
 
+def test_clustered_vectors_need_few_candidates(spark):
+    rnd = np.random.default_rng(3)
+    centres = rnd.normal(size=(200, 32))
+    x = centres[rnd.integers(0, 200, 12_000)] + 0.3 * rnd.normal(size=(12_000, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found, examined = defaultdict(set), {}
+    for r in ann.nearest(df, df.filter("vec_id % 200 = 0"), shard_rows=1500).collect():
+        found[r.query_id].add(r.vec_id)
+        examined[r.query_id] = r.examined
+    hits = 0
+    for q in found:
+        score = x @ x[q]
+        score[q] = -np.inf
+        hits += len(found[q] & set(np.argsort(-score)[:20].tolist()))
+    assert len(found) == 60 and hits >= 0.9 * 20 * 60
+    assert np.mean(list(examined.values())) < len(x) / 3
+
+
 def test_vectors_that_take_no_part(spark):
     rows = [(20, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, None), (3, [0.0, 0.0]), (4, [float("nan"), 1.0]), (5, [2.0, 1.0]), (None, [1.0, 1.0]), (40, [0.0, 3.0]), (6, [1.0]), (7, [None, 1.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("id", F.lit(0)).withColumn("v", F.lit(0))
-    got = [tuple(r) for r in ann.nearest(df, df.filter("vec_id % 20 = 0")).orderBy("query_id", "rank").collect()]
+    got = [tuple(r)[:4] for r in ann.nearest(df, df.filter("vec_id % 20 = 0")).orderBy("query_id", "rank").collect()]
     assert got == [(20, 1, 5, 2.0), (20, 2, 1, 1.0), (20, 3, 40, 0.0), (40, 1, 5, 3.0), (40, 2, 1, 0.0), (40, 3, 20, 0.0)]
     assert ann.nearest(df.limit(0), df.limit(0)).count() == 0
 
