@@ -83,26 +83,37 @@ def normalized(words: Column) -> Column:
     return F.regexp_replace(F.lower(F.array_join(words, " ")), "[0-9]+", "0")
 
 
+#: 128 bits of a text's hash, so that no two texts of a corpus of any size meet.
+DIGEST = ["__d1", "__d2"]
+
+
+def digests(text: Column) -> list[Column]:
+    return [F.xxhash64(text).alias("__d1"), F.xxhash64(F.lit(1), text).alias("__d2")]
+
+
 def shared_lines(docs: DataFrame, text: Column, host: Column, min_texts: int, share: float, enough: int | None = None) -> DataFrame:
-    """Boilerplate of each text: ``__host, __digest``, hashes of the lines, their number and words.
+    """Boilerplate of each text: ``__host``, its digest, hashes of the lines, their number and words.
 
-    Copies of a text give the same rows; sums are divided by their number.
+    The table of hashed lines is made once. Copies of a text give the same rows; sums are divided by
+    their number.
     """
-    split = docs.select(host.alias("__host"), F.xxhash64(text).alias("__digest"), F.explode(F.split(text, "\n")).alias("line")).filter(F.rlike("line", F.lit("[^ \\t-\\r]")))
-    hashed = split.select("__host", "__digest", F.xxhash64(normalized(words_of(F.col("line")))).alias("__line"), F.size(words_of(F.col("line"))).alias("__w"))
-    lines = hashed.groupBy("__host", "__digest", "__line").agg(F.count(F.lit(1)).alias("__times"), F.sum("__w").alias("__words"))
-    copies = docs.select(host.alias("__host"), F.xxhash64(text).alias("__digest")).groupBy("__host", "__digest").agg(F.count(F.lit(1)).alias("__copies"))
+    one = ["__host", *DIGEST]
+    split = docs.select(host.alias("__host"), *digests(text), F.explode(F.split(text, "\n")).alias("line")).filter(F.rlike("line", F.lit("[^ \\t-\\r]")))
+    cut = common.computed(split, one, __cut=words_of(F.col("line")))
+    hashed = cut.select(*one, F.xxhash64(normalized(F.col("__cut"))).alias("__line"), F.size("__cut").alias("__w"))
+    lines = common.materialize(hashed.groupBy(*one, "__line").agg(F.count(F.lit(1)).alias("__times"), F.sum("__w").alias("__words")), "quality-lines")
+    copies = docs.select(host.alias("__host"), *digests(text)).groupBy(*one).agg(F.count(F.lit(1)).alias("__copies"))
     texts = copies.groupBy("__host").agg(F.count(F.lit(1)).alias("__texts"))
     often = lines.groupBy("__host", "__line").agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > min_texts)
     above = F.col("__n") > share * F.col("__texts")
     if enough is not None:
         above |= F.col("__n") > enough
     often = often.join(texts, "__host").filter(above).select("__host", "__line")
-    found = lines.join(often, ["__host", "__line"]).groupBy("__host", "__digest").agg(
+    found = lines.join(often, ["__host", "__line"]).groupBy(*one).agg(
         F.collect_set("__line").alias("__gone"), F.sum("__times").alias("__gone_lines"), F.sum("__words").alias("__gone_words")
     )
     each = lambda c: (F.col(c) / F.col("__copies")).cast("long").alias(c)
-    return found.join(copies, ["__host", "__digest"]).select("__host", "__digest", "__gone", each("__gone_lines"), each("__gone_words"))
+    return found.join(copies, one).select(*one, "__gone", each("__gone_lines"), each("__gone_words"))
 
 
 def _host(docs: DataFrame, column: str) -> Column:
@@ -113,9 +124,9 @@ def _judged(docs: DataFrame, keep: list[str], text_column: str, host_column: str
     """``keep``, host, digest, the counts, the lines to remove and the verdict; no texts."""
     text, host = common.text_or_empty(docs, text_column), _host(docs, host_column)
     gone = shared_lines(docs, text, host, int(rules["min_texts"]), rules["share"], rules["enough"])
-    keys = docs.withColumn("__host", host).withColumn("__digest", F.xxhash64(text))
-    counts = base_counts(keys, text, [*keep, "__host", "__digest"])
-    joined = counts.join(gone, ["__host", "__digest"], "left")
+    keys = docs.select("*", host.alias("__host"), *digests(text))
+    counts = base_counts(keys, text, [*keep, "__host", *DIGEST])
+    joined = counts.join(gone, ["__host", *DIGEST], "left")
     kept_words = F.col("n_words") - F.coalesce("__gone_words", F.lit(0))
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     depleted = (kept_words < rules["least_words"]) | (kept_words < rules["least_part"] * F.col("n_words"))
@@ -149,9 +160,10 @@ def clean(docs: DataFrame, text_column: str = "text", host_column: str = "source
     A text without such lines stays as it is; otherwise its other lines with a word are joined again.
     """
     few = docs.select(docs[text_column].alias("text"), docs[host_column].alias("source"))
-    verdicts = _judged(few, [], "text", "source", {**RULES, **rules}).filter("kept").select("__host", "__digest", "__gone").dropDuplicates(["__host", "__digest"])
+    one = ["__host", *DIGEST]
+    verdicts = _judged(few, [], "text", "source", {**RULES, **rules}).filter("kept").select(*one, "__gone").dropDuplicates(one)
     text = common.text_or_empty(docs, text_column)
-    joined = docs.withColumn("__host", _host(docs, host_column)).withColumn("__digest", F.xxhash64(text)).join(verdicts, ["__host", "__digest"])
+    joined = docs.select("*", _host(docs, host_column).alias("__host"), *digests(text)).join(verdicts, one)
     kept = F.filter(lines_of(F.col(text_column)), lambda x: ~F.array_contains("__gone", F.xxhash64(normalized(words_of(x)))))
     new = F.when(F.col("__gone").isNotNull(), F.array_join(kept, "\n")).otherwise(F.col(text_column))
     return joined.select(*[new.alias(c) if c == text_column else joined[c] for c in docs.columns])
