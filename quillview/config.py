@@ -6,7 +6,6 @@
 
 from __future__ import annotations
 
-import json
 import logging
 import re
 from dataclasses import dataclass, field
@@ -33,6 +32,27 @@ class Tag:
 
 _NAME = re.compile(r'[^\s:"\x00-\x1f\x7f]+(?=:")')
 _QUOTED = re.compile(r'"(?:[^"\\\n]|\\.)*"')
+# Escapes of a quoted string; \x and octal ones are bytes, \u and \U code points.
+_ESCAPE = re.compile(rb'\\(?:([abfnrtv\\"])|x([0-9a-fA-F]{2})|([0-3][0-7]{2})|u([0-9a-fA-F]{4})|U([0-9a-fA-F]{8})|(.?))', re.S)
+_CHARACTERS = {b"a": b"\a", b"b": b"\b", b"f": b"\f", b"n": b"\n", b"r": b"\r", b"t": b"\t", b"v": b"\v", b"\\": b"\\", b'"': b'"'}
+
+
+def unquote(quoted: str) -> str:
+    """The text of a quoted string. Bytes that are no UTF-8 become replacement characters."""
+
+    def one(m: re.Match) -> bytes:
+        simple, hexadecimal, octal, short, long, _ = m.groups()
+        if simple:
+            return _CHARACTERS[simple]
+        if hexadecimal or octal:
+            return bytes([int(hexadecimal, 16) if hexadecimal else int(octal, 8)])
+        if short or long:
+            point = int(short or long, 16)
+            if point <= 0x10FFFF and not 0xD800 <= point < 0xE000:
+                return chr(point).encode()
+        raise TagSyntaxError(f"bad escape in {quoted}")
+
+    return _ESCAPE.sub(one, quoted[1:-1].encode()).decode(errors="replace")
 
 
 def parse_tags(comment: str | None) -> list[Tag]:
@@ -48,11 +68,7 @@ def parse_tags(comment: str | None) -> list[Tag]:
         quoted = name and _QUOTED.match(text, name.end() + 1)
         if not quoted:
             raise TagSyntaxError(f"not a tag at {at}: {text[at : at + 40]!r}")
-        try:
-            value = json.loads(quoted[0])
-        except ValueError as e:
-            raise TagSyntaxError(f"bad string {quoted[0]}") from e
-        out.append(Tag(name[0], tuple(value.split(","))))
+        out.append(Tag(name[0], tuple(unquote(quoted[0]).split(","))))
         at = quoted.end()
 
 

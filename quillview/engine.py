@@ -11,6 +11,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quillview.config import Config, build_config
@@ -49,12 +50,23 @@ def run(
     mode: str,
     tables: dict[str, DataFrame] | None = None,
     changes: DataFrame | None = None,
+    snapshot_position: int | None = None,
+    messages: bool = False,
 ) -> StreamingQuery | None:
+    """Rebuild, follow, or both.
+
+    ``snapshot_position``: where in the log the snapshot was taken; records up to there are in it and are
+    left out. ``messages``: ``changes`` are wire messages. Records without a key are quarantined in the view.
+    """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
     view = MaintainedView(spark, config, options.path, options.null_mode)
     if mode != "stream":
-        view.load_snapshot(snapshot_all(config, tables or {}))
+        view.load_snapshot(snapshot_all(config, tables or {}), snapshot_position)
     if mode != "snapshot" and changes is not None:
-        return view.start(changes, f"{options.path}/checkpoint")
+        if snapshot_position is not None:
+            at = "lsn" if messages else "seq"
+            # Relation messages name the tuples of later ones, so they all pass.
+            changes = changes.filter((F.col(at) > snapshot_position) | (F.col("message") == "R" if messages else F.lit(False)))
+        return view.start(changes, f"{options.path}/checkpoint", messages)
     return None

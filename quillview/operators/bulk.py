@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillview.functions.fragments import object_of
+from quillview.functions.fragments import object_of, quoted
 
 #: Names that the document store knows for operations.
 ACTIONS = {"insert": "index"}
@@ -44,8 +44,7 @@ def payload() -> Column:
 
 
 def _quoted(column: str) -> Column:
-    text = F.to_json(F.array(F.coalesce(F.col(column), F.lit(""))))
-    return text.substr(F.lit(2), F.length(text) - 2)
+    return quoted(F.coalesce(F.col(column), F.lit("")))
 
 
 def render(ops: DataFrame, wire: bool = True) -> DataFrame:

@@ -17,6 +17,10 @@ from pyspark.sql import functions as F
 
 RESETS = ("index", "insert", "delete")
 KEY = ["index", "route", "id"]
+#: A member of an array: the array's name, the member's key and object, null once it was removed.
+ITEM = "struct<name:string,pk:string,value:string>"
+#: Before the position of any snapshot or change.
+BEFORE_LOG = -(1 << 62)
 
 
 def _keyed(ops: DataFrame, adds: tuple[str, ...], dels: tuple[str, ...]) -> DataFrame:
@@ -58,8 +62,13 @@ def fold(
     ops: DataFrame,
     add_scripts: tuple[str, ...] = ("inline_add",),
     del_scripts: tuple[str, ...] = ("inline_del",),
+    keep_items: bool = False,
 ) -> DataFrame:
-    """``index, route, id, fields (map of fragments), inlines (map of name to array of JSON objects)``."""
+    """``index, route, id, fields (map of fragments), inlines (map of name to array of JSON objects)``.
+
+    ``keep_items`` adds ``items``, the arrays' members with their keys in order, from which
+    :func:`ops_of_versions` makes the document again.
+    """
     said = facts(alive(_keyed(ops, add_scripts, del_scripts)))
     one = [*KEY, "type", "name", "pk"]
     removed = F.max(F.when(F.col("gone"), F.col("ord"))).over(Window.partitionBy(*one))
@@ -68,7 +77,7 @@ def fold(
         F.max_by("value", "live").alias("value"), F.min("live").alias("place"), F.bool_or(~F.col("gone")).alias("had")
     )
     field = F.when(F.col("type") == "f", F.struct(F.col("name").alias("key"), "value"))
-    item = F.when((F.col("type") == "a") & F.col("had"), F.struct("name", "place", "value"))
+    item = F.when((F.col("type") == "a") & F.col("had"), F.struct("name", "place", "pk", "value"))
     docs = last.groupBy(*KEY).agg(F.collect_list(field).alias("pairs"), F.array_sort(F.collect_list(item)).alias("items"))
     names = F.array_distinct(F.transform("items", lambda x: x["name"]))
 
@@ -77,7 +86,29 @@ def fold(
         return F.transform(mine, lambda x: x["value"])
 
     inlines = F.when(F.size("items") > 0, F.map_from_arrays(names, F.transform(names, array_of)))
-    return docs.select(*KEY, F.map_from_entries("pairs").alias("fields"), inlines.alias("inlines"))
+    kept = F.transform("items", lambda x: F.struct(x["name"].alias("name"), x["pk"].alias("pk"), F.when(x["place"].isNotNull(), x["value"]).alias("value")))
+    more = [kept.cast(f"array<{ITEM}>").alias("items")] if keep_items else []
+    return docs.select(*KEY, F.map_from_entries("pairs").alias("fields"), inlines.alias("inlines"), *more)
+
+
+def ops_of_versions(versions: DataFrame, add: str = "inline_add", remove: str = "inline_del") -> DataFrame:
+    """Operations that make documents (``KEY, fields, items``) again, before any operation of a log.
+
+    A member without a value stands for a key that was added and removed: it keeps an array that is empty.
+    """
+    none, maps = F.lit(None).cast("string"), F.lit(None).cast("map<string,string>")
+    row = lambda ord_, op, fields, inline, pk, obj: F.struct(
+        ord_.cast("int").alias("op_ord"), op.alias("op"), fields.alias("fields"), inline.alias("inline"), pk.alias("pk"), obj.alias("obj")
+    )
+    made = F.array(row(F.lit(0), F.lit("index"), F.col("fields"), none, none, none))
+    added = F.transform("items", lambda x, i: row(2 * i + 1, F.lit(add), maps, x["name"], x["pk"], F.coalesce(x["value"], F.lit("null"))))
+    removed = F.transform("items", lambda x, i: F.when(x["value"].isNull(), row(2 * i + 2, F.lit(remove), maps, x["name"], x["pk"], none)))
+    ops = F.filter(F.concat(made, added, removed), lambda x: x.isNotNull())
+    empty = F.create_map().cast("map<string,string>")
+    return versions.select("index", F.col("route"), "id", F.explode(ops).alias("o")).select(
+        F.lit(BEFORE_LOG).alias("seq"), "o.op_ord", "index", "id", F.nullif("route", "id").alias("routing"), "o.op", "o.fields", "o.inline", "o.pk", "o.obj",
+        F.when(F.col("o.op") == add, empty).alias("stub"), F.lit("").alias("table"),
+    )
 
 
 def body(documents: DataFrame) -> Column:

@@ -90,6 +90,11 @@ def read(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
     A file is one task's work and held in memory whole, as Spark's binary reader gives it: export in
     parts of bounded size.
     """
+    return parse(spark.read.format("binaryFile").load(path), columns)
+
+
+def parse(files: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Rows of whole files in a column ``content``."""
     decoders = [DECODERS[kind] for kind in columns.values()]
     from pyspark.sql.types import _parse_datatype_string
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -97,7 +102,7 @@ def read(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
     ddl = ", ".join(f"`{n}` {k}" for n, k in columns.items())
     schema = to_arrow_schema(_parse_datatype_string(ddl))
 
-    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for content in batch.column("content").to_pylist():
                 found: list[list] = []
@@ -111,7 +116,7 @@ def read(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
                 if found:
                     yield _batch(found, schema)
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(parse, ddl)
+    return files.select("content").mapInArrow(each, ddl)
 
 
 def _batch(found: list[list], schema: pa.Schema) -> pa.RecordBatch:

@@ -118,3 +118,40 @@ def test_stateful_stream_equals_batch(spark, tmp_path):
     want = one_by_one(ops)
     assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in want.items()}
     assert {k: {a: x for a, x in v[1].items() if x} for k, v in got.items()} == {k: {a: x for a, x in v[1].items() if x} for k, v in want.items()}
+
+
+def test_versions_make_their_documents_again(spark):
+    docs = fold.fold(spark.createDataFrame(random_ops(300, 7), oplog.OPLOG), keep_items=True)
+    assert collected(fold.fold(fold.ops_of_versions(docs))) == collected(docs)
+
+
+def test_state_stays_bounded_and_a_batch_may_run_again(spark, tmp_path):
+    import os
+
+    ops = random_ops(40, 11)
+    for k, o in enumerate(ops):
+        o["seq"] += 1
+    view = MaintainedView(spark, demo.config(), str(tmp_path), shuffle_id_buckets=4, compact_every=3)
+    top = max(o["seq"] for o in ops)
+    steps = list(range(0, top + 1, max(1, top // 9)))
+    sizes = []
+    for n, lo in enumerate(steps):
+        hi = steps[n + 1] if n + 1 < len(steps) else top + 1
+        part = spark.createDataFrame([o for o in ops if lo < o["seq"] <= hi] or [], oplog.OPLOG)
+        view._apply(part, n)
+        if n in (2, 3, 5):
+            view._apply(part, n)  # again, also after it has made a base of the batches before
+        sizes.append(sum(len(f) for _, _, f in os.walk(tmp_path / "versions")))
+    assert len(steps) >= 8 and max(sizes) < 80
+    assert len([d for d in os.listdir(tmp_path / "versions") if d.startswith("base=")]) <= 1
+    assert collected(view.view()) == one_by_one(ops)
+
+
+def test_keyless_records_and_truncations_are_noted(spark, tmp_path):
+    rows = [(1, 0, "I", "public", "orders", None, {"o_orderkey": "4"}), (2, 0, "I", "public", "orders", None, {"o_orderstatus": '"X"'}), (3, 0, "T", "public", "orders", None, None), (9, 0, "C", None, None, None, None)]
+    view = MaintainedView(spark, demo.config(), str(tmp_path))
+    view.apply_changes(spark.createDataFrame(rows, oplog.CHANGE), 0)
+    assert [r.id for r in view.view().collect()] == ["orders_4"]
+    assert [r.seq for r in view.quarantine().collect()] == [2] and [r.kind for r in view.unsupported().collect()] == ["T"]
+    view.apply_changes(spark.createDataFrame([], oplog.CHANGE), 1)
+    assert view.position().first().position == 9
