@@ -57,5 +57,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = common.materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        stays: list[DataFrame] = []
+        # What a stage wrote on its way goes once the documents that it leaves are written.
+        with common.scratch(spark, stays):
+            docs = common.materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+            stays.append(docs)
     return STAGES[-1][1](spark, docs, sf_dir)
