@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Rows that a function of Arrow batches gets at a time.
+SLICE = 512
 #: Setting that names the folder which driver and executors share.
 SHARED_DIR = "spark.checkpoint.dir"
 
@@ -82,12 +84,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
-    """Apply ``fn`` to every Arrow batch; batches stay bounded by Spark's Arrow limits."""
+    """Apply ``fn`` to slices of every Arrow batch, so that what it holds is in proportion to ``SLICE`` rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                yield fn(batch)
+            for at in range(0, batch.num_rows, SLICE):
+                yield fn(batch.slice(at, SLICE))
 
     return df.mapInArrow(run, schema)
 

@@ -35,7 +35,7 @@ from .pretokens import Memory
 
 MARK = "▁"
 #: Distinct words, and parts of words, in each of the two generations that one worker keeps.
-KEEP_WORDS, KEEP_PARTS = 200_000, 200_000
+KEEP_WORDS = 200_000
 
 
 class MergeCodec:
@@ -226,10 +226,10 @@ Known = tuple[str, int, str]  # ids as text, number of ids, decoded text
 class WordMemory(Memory):
     """Words without their space mark, put together from the parts that no merge crosses."""
 
-    def __init__(self, codec: MergeCodec) -> None:
-        super().__init__(self.compose, KEEP_WORDS)
+    def __init__(self, codec: MergeCodec, keep: int) -> None:
+        super().__init__(self.compose, keep)
         self.codec = codec
-        self.parts = Memory(self.encode_part, KEEP_PARTS)
+        self.parts = Memory(self.encode_part, keep)
 
     def encode_part(self, part: str) -> Known:
         ids = self.codec.encode_marked(part)
@@ -242,14 +242,14 @@ class WordMemory(Memory):
         return " ".join([f[0] for f in found]), sum([f[1] for f in found]), "".join([f[2] for f in found])
 
 
-_memories: dict[str, WordMemory] = {}
+_memories: dict[tuple[str, int], WordMemory] = {}
 
 
-def memory(model_path: str) -> WordMemory:
-    """One per worker process and model; lost with the process and then simply built again."""
-    if model_path not in _memories:
-        _memories[model_path] = WordMemory(MergeCodec(model_path))
-    return _memories[model_path]
+def memory(model_path: str, keep: int = KEEP_WORDS) -> WordMemory:
+    """One per worker process, model and size; lost with the process and then simply built again."""
+    if (model_path, keep) not in _memories:
+        _memories[model_path, keep] = WordMemory(MergeCodec(model_path), keep)
+    return _memories[model_path, keep]
 
 
 def encode_texts(
@@ -258,11 +258,15 @@ def encode_texts(
     text_column: str = "text",
     add_end: bool = True,
     carry: tuple[str, ...] = ("doc_id",),
+    keep: int = KEEP_WORDS,
 ) -> DataFrame:
-    """``carry`` columns, then ``ids`` (array of int), ``n_tokens`` and the text that the ids decode to."""
+    """``carry`` columns, then ``ids`` (array of int), ``n_tokens`` and the text that the ids decode to.
+
+    ``keep``: words, and parts of words, that a worker remembers in each of two generations.
+    """
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        known = memory(model_path)
+        known = memory(model_path, keep)
         tail = [str(known.codec.end_id)] if add_end else []
         ids, ends, texts = [], [0], []
         for text in batch.column(batch.num_columns - 1).to_pylist():
