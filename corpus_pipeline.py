@@ -23,6 +23,8 @@ from quillview.llm import common, minhash, mixing, quality, sentencepiece_codec
 
 #: 5 % of a source of 2,000 texts: up to there the rules of ``op8_quality_rules`` alone decide.
 ENOUGH_TEXTS = 100
+#: Words that an encoding worker remembers: idle workers hold them beside the stages of a following run.
+REMEMBERED_WORDS = 50_000
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +41,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     named = docs.select("doc_id", "lang", "source", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sum"), "text")
-    rows = sentencepiece_codec.encode_texts(named, sentencepiece_codec.default_model(), carry=("doc_id", "lang", "source", "sum"))
+    rows = sentencepiece_codec.encode_texts(named, sentencepiece_codec.default_model(), carry=("doc_id", "lang", "source", "sum"), keep=REMEMBERED_WORDS)
     return rows.select("doc_id", "lang", "source", "n_tokens", "ids", (F.sha2("decoded", 256) == F.col("sum")).alias("round_trip"))
 
 
