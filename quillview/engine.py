@@ -7,7 +7,7 @@ Options come from a dictionary or the environment:
 from __future__ import annotations
 
 import os
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,8 +16,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quillview.config import Config, build_config
 from quillview.operators.oplog import snapshot_all
+from quillview.operators.scripts import STANDARD, Script
 from quillview.plans import catalog
 from quillview.streaming.maintain import MaintainedView
+from quillview.streaming.status import Reporter, Status
 
 MODES = ("snapshot", "stream", "snapshot+stream")
 
@@ -52,15 +54,19 @@ def run(
     changes: DataFrame | None = None,
     snapshot_position: int | None = None,
     messages: bool = False,
+    scripts: Mapping[str, Script] = STANDARD,
+    status: Status | None = None,
+    report: Callable[[int], None] | None = None,
 ) -> StreamingQuery | None:
     """Rebuild, follow, or both.
 
     ``snapshot_position``: where in the log the snapshot was taken; records up to there are in it and are
-    left out. ``messages``: ``changes`` are wire messages. Records without a key are quarantined in the view.
+    left out. ``messages``: ``changes`` are wire messages. ``scripts``: effects of the scripts that comments may name.
+    ``status`` is kept up to date; ``report`` is called with positions that are committed (``status.Reporter``). Records without a key are quarantined in the view.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
-    view = MaintainedView(spark, config, options.path, options.null_mode)
+    view = MaintainedView(spark, config, options.path, options.null_mode, scripts=scripts, status=status)
     if mode != "stream":
         view.load_snapshot(snapshot_all(config, tables or {}), snapshot_position)
     if mode != "snapshot" and changes is not None:
@@ -68,5 +74,11 @@ def run(
             at = "lsn" if messages else "seq"
             # Relation messages name the tuples of later ones, so they all pass.
             changes = changes.filter((F.col(at) > snapshot_position) | (F.col("message") == "R" if messages else F.lit(False)))
-        return view.start(changes, f"{options.path}/checkpoint", messages)
+        reporter = Reporter(view.last_position, report or (lambda _: None), status) if status or report else None
+        if reporter:
+            spark.streams.addListener(reporter)
+        query = view.start(changes, f"{options.path}/checkpoint", messages)
+        if reporter:
+            reporter.query_id = str(query.id)
+        return query
     return None

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,6 +46,88 @@ def same_multiset(left: Column, right: Column) -> Column:
     return F.array_sort(left).eqNullSafe(F.array_sort(right))
 
 
+def with_children(parents: DataFrame, key: str, kinds: dict[str, tuple[DataFrame, str, list[str], list[str]]]) -> DataFrame:
+    """Each parent with its children of several kinds, an array of objects per kind (empty if it has none).
+
+    ``kinds``: name of the array -> children, their column with the parent's key, columns kept, columns that order
+    them. Children are grouped by the parent's key before the joins, which are all on that key: every table is
+    shuffled once. A column of the parent with the name of an array gives way.
+    """
+    out = parents.drop(*kinds)
+    for name, (rows, parent, columns, order) in kinds.items():
+        member = F.struct(F.struct(*order).alias("o"), F.struct(*columns).alias("v"))
+        mine = rows.filter(F.col(parent).isNotNull()).groupBy(F.col(parent).alias("__parent")).agg(F.transform(F.array_sort(F.collect_list(member)), lambda x: x["v"]).alias(name))
+        out = out.join(mine, out[key] == mine["__parent"], "left").drop("__parent").withColumn(name, F.coalesce(name, F.array().cast(mine.schema[name].dataType)))
+    return out
+
+
+#: Types of an index mapping as types of columns.
+TYPES = {
+    "keyword": "string", "text": "string", "boolean": "boolean", "byte": "tinyint", "short": "smallint", "integer": "int", "long": "bigint",
+    "float": "float", "double": "double", "date": "timestamp",
+}
+
+
+@dataclass(frozen=True)
+class Mapped:
+    """A field of an index mapping. ``members``: of a nested field; a longer text than ``longest`` is not searched."""
+
+    kind: str
+    searched: bool = True
+    longest: int | None = None
+    members: dict[str, Mapped] | None = None
+    relations: dict[str, list[str]] | None = None  # of a join field: type of the parent -> types of its children
+
+
+def index_mapping(text: str) -> dict[str, Mapped]:
+    """The fields of an index mapping: ``{"mappings": {"properties": {...}}}``."""
+
+    def fields(properties: dict) -> dict[str, Mapped]:
+        out = {}
+        for name, p in properties.items():
+            kind = p.get("type", "nested" if "properties" in p else None)
+            if kind not in TYPES and kind not in ("nested", "join"):
+                raise ValueError(f"field {name} has an unknown type {kind!r}")
+            relations = {k: [v] if isinstance(v, str) else list(v) for k, v in p.get("relations", {}).items()}
+            members = fields(p.get("properties", {})) if kind == "nested" else None
+            out[name] = Mapped(kind, p.get("index", True), p.get("ignore_above"), members, relations if kind == "join" else None)
+        return out
+
+    return fields(json.loads(text)["mappings"]["properties"])
+
+
+def _member(text: Column, name: str, m: Mapped) -> Column:
+    """A field of a JSON object under its type; values that don't fit are null."""
+    found = F.get_json_object(text, f"$['{name}']")
+    value = found.try_cast(TYPES[m.kind])
+    return F.when(F.length(found) <= m.longest, value) if m.longest is not None else value
+
+
+def searchable(documents: DataFrame, mapping: dict[str, Mapped]) -> DataFrame:
+    """Documents as an index with this mapping searches them: a column per searched field under its type.
+
+    Nested fields are arrays of structs, from the documents' arrays; a join field is a struct of the type's name
+    and the parent, null for types that the mapping doesn't relate. Fields with ``index: false`` and members of
+    nested fields that are not searched are left out; values that don't fit their type are null.
+    """
+    columns = []
+    for name, m in mapping.items():
+        object_ = F.concat(F.lit('{"v":'), F.col("fields")[name], F.lit("}"))
+        if not m.searched:
+            continue
+        if m.kind == "nested":
+            members = {k: x for k, x in m.members.items() if x.searched}
+            made = lambda o, members=members: F.struct(*[_member(o, k, x).alias(k) for k, x in members.items()])
+            columns.append(F.transform(F.col("inlines")[name], made).alias(name))
+        elif m.kind == "join":
+            known = list(dict.fromkeys([*m.relations, *(c for children in m.relations.values() for c in children)]))
+            type_, parent = F.get_json_object(object_, "$.v.name"), F.get_json_object(object_, "$.v.parent")
+            columns.append(F.when(type_.isin(*known), F.struct(type_.alias("name"), parent.alias("parent"))).alias(name))
+        else:
+            columns.append(_member(object_, "v", m).alias(name))
+    return documents.select(F.col("id").alias("_id"), F.col("route").alias("_routing"), *columns)
+
+
 def typed(documents: DataFrame, mapping: dict[str, str]) -> DataFrame:
     """Fields of documents under the types of an index mapping; values that don't fit are null."""
     raw = lambda f: F.get_json_object(F.concat(F.lit('{"v":'), F.col("fields")[f], F.lit("}")), "$.v")

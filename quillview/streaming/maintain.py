@@ -19,6 +19,7 @@ records that no operation stands for, such as truncations (``unsupported``).
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,9 +29,13 @@ from pyspark.sql.streaming import StreamingQuery
 from quillview.config import Config
 from quillview.operators.fold import ITEM, KEY, fold, ops_of_versions
 from quillview.operators.oplog import OPLOG, bad_changes, change_ops, unsupported
+from quillview.operators.scripts import STANDARD, Script, of_config
 from quillview.sources.changelog import Decoder
+from quillview.streaming.status import Status
 
-VERSIONS = f"`index` string, route string, id string, fields map<string,string>, inlines map<string,array<string>>, items array<{ITEM}>, gone boolean, bucket int"
+VERSIONS = f"`index` string, route string, id string, fields map<string,string>, inlines map<string,array<string>>, maps map<string,map<string,string>>, items array<{ITEM}>, gone boolean, bucket int"
+#: Kinds of change records as metrics name them.
+OPERATIONS = {"I": "insert", "U": "update", "D": "delete", "T": "truncate"}
 #: A snapshot's versions come before those of any change.
 SNAPSHOT_BATCH = -1
 
@@ -43,8 +48,13 @@ class MaintainedView:
     null_mode: str = "omit"
     shuffle_id_buckets: int = 64
     compact_every: int = 16
+    status: Status | None = None
+    scripts: Mapping[str, Script] = field(default_factory=lambda: STANDARD)
     _decoder: Decoder | None = field(default=None, repr=False)
 
+    def __post_init__(self) -> None:
+        self._effects = of_config(self.config, self.scripts)
+
     @property
     def _versions(self) -> str:
         return f"{self.path}/versions"
@@ -56,6 +66,9 @@ class MaintainedView:
 
     def apply_changes(self, changes: DataFrame, batch: int) -> None:
         self._note("positions", batch, changes.agg(F.max("seq").alias("position")))
+        if self.status:  # a row per table and kind
+            for r in changes.filter(F.col("table").isNotNull()).groupBy("table", "kind").count().collect():
+                self.status.count("streaming_messages", r["count"], table=r.table, operation=OPERATIONS.get(r.kind, r.kind))
         self._note("quarantine", batch, bad_changes(self.config, changes))
         self._note("unsupported", batch, unsupported(changes))
         self._apply(change_ops(self.config, changes, self.null_mode), batch)
@@ -107,11 +120,11 @@ class MaintainedView:
             found = rows if found is None else found.unionByName(rows)
         if buckets is not None:
             found = found.filter(F.col("bucket").isin(buckets))
-        last = found.groupBy(*KEY).agg(F.max_by(F.struct("fields", "inlines", "items", "gone", "bucket"), "n").alias("v"))
+        last = found.groupBy(*KEY).agg(F.max_by(F.struct("fields", "inlines", "maps", "items", "gone", "bucket"), "n").alias("v"))
         return last.select(*KEY, "v.*")
 
     def _write(self, versions: DataFrame, name: str) -> None:
-        columns = [c.strip().split(" ")[0].strip("`") for c in ("index", "route", "id", "fields", "inlines", "items", "gone")]
+        columns = [c.strip().split(" ")[0].strip("`") for c in ("index", "route", "id", "fields", "inlines", "maps", "items", "gone")]
         versions.select(*columns, "bucket").repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self._versions}/{name}")
 
     def _apply(self, ops: DataFrame, batch: int) -> None:
@@ -121,8 +134,9 @@ class MaintainedView:
         buckets = [r.bucket for r in mine.select("bucket").distinct().collect()]  # shuffle_id_buckets at most
         touched = mine.select("bucket", *KEY).distinct()
         before = self._current(self._parts(batch), buckets).join(touched, ["bucket", *KEY], "left_semi").filter(~F.col("gone"))
-        adds, dels = scripts(self.config)
-        documents = fold(ops_of_versions(before, adds[0], dels[0]).unionByName(mine.drop("route", "bucket")), adds, dels, keep_items=True)
+        documents = fold(ops_of_versions(before).unionByName(mine.drop("route", "bucket")), self._effects, keep_items=True)
+        if "maps" not in documents.columns:
+            documents = documents.withColumn("maps", F.lit(None).cast("map<string,map<string,string>>"))
         self._write(touched.join(documents, KEY, "left").withColumn("gone", F.col("fields").isNull()), f"batch={batch}")
         self._remove([f"{self.path}/ops"])
         if batch >= 0 and batch % self.compact_every == self.compact_every - 1:
@@ -153,12 +167,16 @@ class MaintainedView:
 
     def view(self) -> DataFrame:
         """Current documents."""
-        return self._current(self._parts()).filter(~F.col("gone")).select(*KEY, "fields", "inlines")
+        return self._current(self._parts()).filter(~F.col("gone")).select(*KEY, "fields", "inlines", "maps")
 
     def position(self) -> DataFrame:
         """The last position that is in the view."""
         return self._noted("positions", "position long").agg(F.max("position").alias("position"))
 
+    def last_position(self) -> int | None:
+        """The same as a number, None before the first."""
+        return self.position().first().position
+
     def quarantine(self) -> DataFrame:
         """Records that made no operation for want of a key, by batch."""
         return self._noted("quarantine", "seq long, kind string, schema string, table string, reason string")
@@ -166,10 +184,3 @@ class MaintainedView:
     def unsupported(self) -> DataFrame:
         """Numbers of records that no operation stands for, by batch."""
         return self._noted("unsupported", "schema string, table string, kind string, count long")
-
-
-def scripts(config: Config) -> tuple[tuple[str, ...], tuple[str, ...]]:
-    """Names of all operations that add to, and remove from, arrays; the standard ones come first."""
-    inlines = [i for t in config.tables.values() for i in t.inlines]
-    every = lambda first, more: tuple(dict.fromkeys((first, *more)))
-    return every("inline_add", (i.add for i in inlines)), every("inline_del", (i.remove for i in inlines))

@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import base64
 import json
+import time
+import urllib.error
 import urllib.request
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from urllib.parse import urlsplit, urlunsplit
 
@@ -30,12 +32,19 @@ class BulkError(RuntimeError):
 
 @dataclass(frozen=True)
 class SinkOptions:
-    """Sizes in bytes, times in seconds. ``idle`` and ``throttle`` become the trigger's interval."""
+    """Sizes in bytes, times in seconds.
+
+    ``idle`` is the trigger's interval: what doesn't fill a request waits for so long, a batch that takes longer
+    is followed at once by the next. ``throttle`` is the least time between the requests of a sender.
+    A batch is fixed when it starts, so ``debounce`` (waiting for more after the first row) has nothing to act on.
+    """
 
     bulk_size: int = 4 * bulk.MIB
     idle: float = 5.0
     throttle: float = 0.5
     debounce: float = 0.1
+    #: Attempts at a request that the store could not take (no connection, 429, 5xx), each after twice the time.
+    attempts: int = 4
 
     @classmethod
     def clamped(cls, bulk_mib: int = 4, idle: float = 30.0, throttle: float = 0.5, debounce: float = 0.5) -> SinkOptions:
@@ -44,7 +53,7 @@ class SinkOptions:
         return cls(size * bulk.MIB, idle if idle >= 1 else 5.0, throttle if throttle > 0 else 0.5, debounce if debounce > 0 else 0.1)
 
     def trigger(self) -> dict[str, str]:
-        return {"processingTime": f"{max(self.throttle, 0.001)} seconds"}
+        return {"processingTime": f"{max(self.idle, 0.001)} seconds"}
 
 
 @dataclass(frozen=True)
@@ -87,6 +96,33 @@ def check(answer: str) -> None:
         raise BulkError(f"{len(bad)} items failed, the first: {bad[0]}")
 
 
+def transient(error: Exception) -> bool:
+    """Whether the same request can succeed later."""
+    if isinstance(error, urllib.error.HTTPError):
+        return error.code == 429 or error.code >= 500
+    return isinstance(error, (urllib.error.URLError, TimeoutError, ConnectionError))
+
+
+class Sender:
+    """Sends requests one after the other: not more often than the throttle allows, again after transient errors."""
+
+    def __init__(self, client: Client, options: SinkOptions, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep) -> None:
+        self.client, self.options, self.clock, self.sleep = client, options, clock, sleep
+        self.last: float | None = None
+
+    def send(self, lines: list[str]) -> None:
+        for attempt in range(1, self.options.attempts + 1):
+            least = self.options.throttle * 2 ** (attempt - 1)
+            if self.last is not None and (wait := self.last + least - self.clock()) > 0:
+                self.sleep(wait)
+            self.last = self.clock()
+            try:
+                return self.client.send(lines)
+            except Exception as error:
+                if not transient(error) or attempt == self.options.attempts:
+                    raise
+
+
 def packed(rows: Iterable[Row], capacity: int) -> Iterator[list[str]]:
     held: list[str] = []
     used = 0
@@ -103,12 +139,13 @@ def packed(rows: Iterable[Row], capacity: int) -> Iterator[list[str]]:
 
 def send_ops(ops: DataFrame, client: Client, options: SinkOptions | None = None) -> None:
     """Send a batch of operations, each document's in order."""
-    capacity = (options or SinkOptions()).bulk_size
+    chosen = options or SinkOptions()
     rows = bulk.render(ops).repartition(F.col("id")).sortWithinPartitions("seq", "op_ord", "pk").select("ndjson")
 
     def push(part: Iterable[Row]) -> None:
-        for lines in packed(part, capacity):
-            client.send(lines)
+        sender = Sender(client, chosen)
+        for lines in packed(part, chosen.bulk_size):
+            sender.send(lines)
 
     rows.foreachPartition(push)
 

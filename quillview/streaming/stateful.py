@@ -7,46 +7,56 @@ arrive in log order. Each touched document is emitted in its new version.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Mapping
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-OUTPUT = "`index` string, route string, id string, fields map<string,string>, inlines map<string,array<string>>, gone boolean"
+from quillview.operators.scripts import ARRAYS, Script
+
+OUTPUT = (
+    "`index` string, route string, id string, fields map<string,string>, inlines map<string,array<string>>, "
+    "maps map<string,map<string,string>>, gone boolean"
+)
 STATE = "document string"
 
-Document = dict  # {"fields": {name: fragment}, "arrays": {name: [[pk, object], ...]}}
+Document = dict  # {"fields": {name: fragment}, "array" and "map", by the scripts' shape: {name: {pk: object}}}
 
 
-def apply(document: Document | None, ops: Iterable[dict], adds: tuple[str, ...] = ("inline_add",), dels: tuple[str, ...] = ("inline_del",)) -> Document | None:
+def apply(document: Document | None, ops: Iterable[dict], scripts: Mapping[str, Script] = ARRAYS) -> Document | None:
     """A document after operations, one at a time; None if there is none."""
     for op in ops:
         kind = op["op"]
         if kind in ("index", "insert"):
-            document = {"fields": dict(op["fields"]), "arrays": {}}
+            document = {"fields": dict(op["fields"]), "array": {}, "map": {}}
         elif kind == "delete":
             document = None
         elif kind == "update":
             if document:
                 document["fields"].update(op["fields"])
-        elif kind in adds:
+        elif kind not in scripts:
+            raise ValueError(f"no script is declared for the operation {kind}")
+        elif scripts[kind].adds:
+            script = scripts[kind]
             if document is None:
-                document = {"fields": dict(op["stub"] or {}), "arrays": {}}
-            items = document["arrays"].setdefault(op["inline"], [])
-            same = next((k for k, (pk, _) in enumerate(items) if pk == op["pk"]), None)
-            if same is None:
-                items.append([op["pk"], op["obj"]])
+                document = {"fields": dict(op["stub"] or {}), "array": {}, "map": {}}
+            items = document[script.shape].setdefault(op["inline"], {})
+            if script.value == "first":
+                obj = items.get(op["pk"], op["obj"])
             else:
-                items[same][1] = op["obj"]
-        elif kind in dels and document and op["inline"] in document["arrays"]:
-            items = document["arrays"][op["inline"]]
-            document["arrays"][op["inline"]] = [x for x in items if x[0] != op["pk"]]
+                obj = op["obj"]
+            if script.place == "last":
+                items.pop(op["pk"], None)
+            items[op["pk"]] = obj  # a key that is there keeps its place
+        elif document:
+            for shape in ("array", "map"):
+                document[shape].get(op["inline"], {}).pop(op["pk"], None)
     return document
 
 
-def stateful_fold(ops: DataFrame, adds: tuple[str, ...] = ("inline_add",), dels: tuple[str, ...] = ("inline_del",)) -> DataFrame:
+def stateful_fold(ops: DataFrame, scripts: Mapping[str, Script] = ARRAYS) -> DataFrame:
     """Versions of documents from a stream of operations (output mode ``update``)."""
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -56,11 +66,12 @@ def stateful_fold(ops: DataFrame, adds: tuple[str, ...] = ("inline_add",), dels:
             for k in ("fields", "stub"):
                 r[k] = r.get(k) or {}
             r["pk"], r["inline"], r["obj"] = r.get("pk"), r.get("inline"), r.get("obj")
-        document = apply(json.loads(state.get[0]) if state.exists else None, rows, adds, dels)
+        document = apply(json.loads(state.get[0]) if state.exists else None, rows, scripts)
         state.update((json.dumps(document),))
-        arrays = {k: [x[1] for x in v] for k, v in document["arrays"].items()} if document else None
+        found = document or {"fields": None, "array": {}, "map": {}}
+        arrays = {k: list(v.values()) for k, v in found["array"].items()}
         yield pd.DataFrame(
-            {"index": [key[0]], "route": [key[1]], "id": [key[2]], "fields": [document["fields"] if document else None], "inlines": [arrays or None], "gone": [document is None]}
+            {"index": [key[0]], "route": [key[1]], "id": [key[2]], "fields": [found["fields"]], "inlines": [arrays or None], "maps": [found["map"] or None], "gone": [document is None]}
         )
 
     packed = ops.select(

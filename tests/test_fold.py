@@ -6,16 +6,18 @@ import json
 import random
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
-from quillview.operators import fold, oplog
+from quillview import config
+from quillview.operators import fold, oplog, scripts
 from quillview.plans import demo
 from quillview.streaming import stateful
 from quillview.streaming.maintain import MaintainedView
 from tests.conftest import SF
 
 
-def random_ops(n_docs: int, seed: int) -> list[dict]:
+def random_ops(n_docs: int, seed: int, adds: dict[str, str] | None = None) -> list[dict]:
     rnd = random.Random(seed)
     out = []
     for d in range(n_docs):
@@ -34,26 +36,28 @@ def random_ops(n_docs: int, seed: int) -> list[dict]:
             elif op != "delete":
                 row["inline"], row["pk"] = rnd.choice(["p", "q"]), rnd.choice(["1", "2", "3"])
                 if op == "inline_add":
+                    row["op"] = (adds or {}).get(row["inline"], op)
                     row["obj"], row["stub"] = json.dumps({"v": rnd.randint(0, 99)}), {"docType": '"t"', "a": "0"}
             out.append(row)
     return out
 
 
-def one_by_one(ops: list[dict]) -> dict:
+def one_by_one(ops: list[dict], effects: dict | None = None) -> dict:
     by_doc = defaultdict(list)
     for o in ops:
         by_doc[o["id"]].append(o)
     out = {}
     for d, found in by_doc.items():
         found.sort(key=lambda o: (o["seq"], o["op_ord"]))
-        doc = stateful.apply(None, [dict(o, fields=o["fields"] or {}) for o in found])
+        doc = stateful.apply(None, [dict(o, fields=o["fields"] or {}) for o in found], effects or scripts.ARRAYS)
         if doc:
-            out[d] = (doc["fields"], {k: [x[1] for x in v] for k, v in doc["arrays"].items()})
+            out[d] = (doc["fields"], {k: list(v.values()) for k, v in doc["array"].items()} | doc["map"])
     return out
 
 
 def collected(df) -> dict:
-    return {r.id: (dict(r.fields or {}), {k: list(v) for k, v in (r.inlines or {}).items()}) for r in df.collect()}
+    maps = lambda r: (r.maps or {}) if "maps" in df.columns else {}
+    return {r.id: (dict(r.fields or {}), {k: list(v) for k, v in (r.inlines or {}).items()} | maps(r)) for r in df.collect()}
 
 
 def test_fold_equals_one_by_one(spark):
@@ -62,6 +66,39 @@ def test_fold_equals_one_by_one(spark):
     assert collected(fold.fold(spark.createDataFrame(shuffled, oplog.OPLOG))) == one_by_one(ops)
 
 
+EFFECTS = {**scripts.STANDARD, "first_stays": scripts.Script(value="first"), "to_the_end": scripts.Script(place="last"), "first_to_the_end": scripts.Script(value="first", place="last")}
+
+
+@pytest.mark.parametrize("adds", [{"p": "inline_add_map"}, {"p": "first_stays", "q": "inline_add_map"}, {"p": "to_the_end", "q": "first_to_the_end"}])
+def test_scripts_equal_one_by_one(spark, tmp_path, adds):
+    ops = random_ops(400, 21, adds)
+    df = spark.createDataFrame(ops, oplog.OPLOG)
+    want = one_by_one(ops, EFFECTS)
+    whole = fold.fold(df, EFFECTS, keep_items=True)
+    assert collected(whole) == want
+    assert collected(fold.fold(fold.ops_of_versions(whole), EFFECTS)) == want
+    for r in whole.withColumn("body", fold.body(whole)).collect():
+        assert all(json.loads(r.body)[k] == {p: json.loads(o) for p, o in v.items()} for k, v in (r.maps or {}).items())
+    view = MaintainedView(spark, demo.config(), str(tmp_path), shuffle_id_buckets=2)
+    view._effects = EFFECTS
+    for n, (lo, hi) in enumerate([(-1, 4), (4, 99)]):
+        view._apply(df.filter((F.col("seq") > lo) & (F.col("seq") <= hi)), n)
+    assert collected(view.view()) == want
+
+
+def test_scripts_must_be_declared(spark, tmp_path):
+    comments = {"a": ('index:"doc" inline:"i,i,my_add,inline_del"', {"id": ""}, ("id",)), "b": ('index:"-"', {"id": 'inline:"i,pk"', "a": 'inline:"i,parent"'}, ("id", "a"))}
+    made = config.build_config("db", demo.catalog_rows(comments))
+    with pytest.raises(config.ConfigError, match="my_add"):
+        MaintainedView(spark, made, str(tmp_path))
+    with pytest.raises(config.ConfigError, match="additions"):
+        MaintainedView(spark, made, str(tmp_path), scripts={**scripts.STANDARD, "my_add": scripts.Script(adds=False)})
+    MaintainedView(spark, made, str(tmp_path), scripts={**scripts.STANDARD, "my_add": scripts.Script()})
+    odd = random_ops(5, 1, {"p": "my_add", "q": "my_add"})
+    with pytest.raises(Exception, match="my_add"):
+        fold.fold(spark.createDataFrame(odd, oplog.OPLOG)).collect()
+
+
 def test_fold_of_nothing(spark):
     assert fold.fold(oplog.empty(spark)).count() == 0
 
