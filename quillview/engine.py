@@ -74,7 +74,7 @@ def run(
             at = "lsn" if messages else "seq"
             # Relation messages name the tuples of later ones, so they all pass.
             changes = changes.filter((F.col(at) > snapshot_position) | (F.col("message") == "R" if messages else F.lit(False)))
-        reporter = Reporter(view.last_position, report or (lambda _: None), status) if status or report else None
+        reporter = Reporter(view.position_of, report or (lambda _: None), status) if status or report else None
         if reporter:
             spark.streams.addListener(reporter)
         query = view.start(changes, f"{options.path}/checkpoint", messages)

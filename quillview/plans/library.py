@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from quillview.plans import catalogs, documents, logs  # noqa: F401
+from quillview.plans import catalogs, documents, logs, served  # noqa: F401

@@ -96,11 +96,17 @@ def index_mapping(text: str) -> dict[str, Mapped]:
     return fields(json.loads(text)["mappings"]["properties"])
 
 
-def _member(text: Column, name: str, m: Mapped) -> Column:
-    """A field of a JSON object under its type; values that don't fit are null."""
-    found = F.get_json_object(text, f"$['{name}']")
-    value = found.try_cast(TYPES[m.kind])
-    return F.when(F.length(found) <= m.longest, value) if m.longest is not None else value
+def _under_type(text: Column, m: Mapped) -> Column:
+    """A value's text under its type; values that don't fit are null."""
+    value = text.try_cast(TYPES[m.kind])
+    return F.when(F.length(text) <= m.longest, value) if m.longest is not None else value
+
+
+def _nested(objects: Column, members: dict[str, Mapped]) -> Column:
+    """JSON objects as structs, each parsed once."""
+    texts = ", ".join(f"`{k}` string" for k in members)
+    parsed = F.transform(objects, lambda o: F.from_json(o, texts))
+    return F.transform(parsed, lambda o: F.struct(*[_under_type(o[k], x).alias(k) for k, x in members.items()]))
 
 
 def searchable(documents: DataFrame, mapping: dict[str, Mapped]) -> DataFrame:
@@ -117,14 +123,13 @@ def searchable(documents: DataFrame, mapping: dict[str, Mapped]) -> DataFrame:
             continue
         if m.kind == "nested":
             members = {k: x for k, x in m.members.items() if x.searched}
-            made = lambda o, members=members: F.struct(*[_member(o, k, x).alias(k) for k, x in members.items()])
-            columns.append(F.transform(F.col("inlines")[name], made).alias(name))
+            columns.append(_nested(F.col("inlines")[name], members).alias(name))
         elif m.kind == "join":
             known = list(dict.fromkeys([*m.relations, *(c for children in m.relations.values() for c in children)]))
             type_, parent = F.get_json_object(object_, "$.v.name"), F.get_json_object(object_, "$.v.parent")
             columns.append(F.when(type_.isin(*known), F.struct(type_.alias("name"), parent.alias("parent"))).alias(name))
         else:
-            columns.append(_member(object_, "v", m).alias(name))
+            columns.append(_under_type(F.get_json_object(object_, "$.v"), m).alias(name))
     return documents.select(F.col("id").alias("_id"), F.col("route").alias("_routing"), *columns)
 
 

@@ -150,8 +150,10 @@ class MaintainedView:
             return
         self._write(self._current(parts).filter(~F.col("gone")), f"base={last}")
         self._remove(parts)
-        for kind in ("positions",):
-            self._remove([f"{self.path}/{kind}/batch={b}" for b in self._batches(f"{self.path}/{kind}") if b < last])
+        # The last batch can have carried no position, so it takes over the highest one.
+        reached = self._noted("positions", "position long").filter(F.col("batch") <= last).agg(F.max("position")).first()[0]
+        self._note("positions", last, self.spark.createDataFrame([(reached,)], "position long"))
+        self._remove([f"{self.path}/positions/batch={b}" for b in self._batches(f"{self.path}/positions") if b < last])
 
     def _remove(self, paths: list[str]) -> None:
         jvm = self.spark.sparkContext._jvm
@@ -173,9 +175,12 @@ class MaintainedView:
         """The last position that is in the view."""
         return self._noted("positions", "position long").agg(F.max("position").alias("position"))
 
-    def last_position(self) -> int | None:
-        """The same as a number, None before the first."""
-        return self.position().first().position
+    def position_of(self, batch: int) -> int | None:
+        """The last position that a batch carried; None if it carried none, or the batch is compacted."""
+        folder = f"{self.path}/positions"
+        if batch not in self._batches(folder):
+            return None
+        return self.spark.read.schema("position long").parquet(f"{folder}/batch={batch}").first().position
 
     def quarantine(self) -> DataFrame:
         """Records that made no operation for want of a key, by batch."""

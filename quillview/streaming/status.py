@@ -54,9 +54,13 @@ class Status:
 
 
 class Reporter(StreamingQueryListener):
-    """Reports the committed position of one query to the log's owner."""
+    """Reports the committed position of one query to the log's owner.
 
-    def __init__(self, position: Callable[[], int | None], report: Callable[[int], None], status: Status | None = None, every: float = 10.0, clock: Callable[[], float] = time.monotonic) -> None:
+    ``position`` gives a batch's position. It is asked for batches that are committed, since the next one notes
+    its position while it runs.
+    """
+
+    def __init__(self, position: Callable[[int], int | None], report: Callable[[int], None], status: Status | None = None, every: float = 10.0, clock: Callable[[], float] = time.monotonic) -> None:
         self.position, self.report, self.status, self.every, self.clock = position, report, status or Status(), every, clock
         self.query_id: str | None = None  # of the query to follow; None follows all
         self._committed: int | None = None
@@ -85,7 +89,7 @@ class Reporter(StreamingQueryListener):
 
     def onQueryProgress(self, event: object) -> None:
         if self._mine(event.progress.id):
-            self.committed(self.position())
+            self.committed(self.position(event.progress.batchId))
 
     def onQueryIdle(self, event: object) -> None:
         if self._mine(event.id):

@@ -192,3 +192,11 @@ def test_keyless_records_and_truncations_are_noted(spark, tmp_path):
     assert [r.seq for r in view.quarantine().collect()] == [2] and [r.kind for r in view.unsupported().collect()] == ["T"]
     view.apply_changes(spark.createDataFrame([], oplog.CHANGE), 1)
     assert view.position().first().position == 9
+
+
+def test_a_position_outlives_compaction_of_batches_without_one(spark, tmp_path):
+    view = MaintainedView(spark, demo.config(), str(tmp_path), shuffle_id_buckets=2, compact_every=3)
+    first = demo.order_changes(spark, SF, "I").filter("seq <= 5")
+    for n in range(3):
+        view.apply_changes(first if n == 0 else first.limit(0), n)
+    assert view.position().first().position == 5 and view.view().count() == 5

@@ -128,3 +128,69 @@ def test_engine_discovers_and_rebuilds(spark, tmp_path):
     assert [r.id for r in MaintainedView(spark, config, options.path).view().collect()] == ["1"]
     with pytest.raises(ValueError):
         engine.Options.read({})
+
+
+def test_status_is_served_and_positions_are_reported():
+    import urllib.error
+    import urllib.request
+
+    from quillview.streaming import status
+
+    found, now, reported = status.Status(), [0.0], []
+    reporter = status.Reporter(lambda batch: {0: 5, 1: None, 2: 9}[batch], reported.append, found, every=10, clock=lambda: now[0])
+
+    class Event:
+        id, exception = "q", None
+        progress = type("P", (), {"id": "q", "batchId": 0})
+
+    reporter.query_id = "other"
+    reporter.onQueryProgress(Event)
+    assert not reported and found.state == "starting-up"
+    reporter.query_id = "q"
+    reporter.onQueryStarted(Event)
+    for at, batch in [(1, 0), (5, 1), (6, 2)]:
+        now[0], Event.progress.batchId = at, batch
+        reporter.onQueryProgress(Event)
+    assert reported == [5] and found.state == "streaming"
+    now[0] = 11
+    reporter.onQueryIdle(Event)
+    assert reported == [5, 9]
+    reporter.request()
+    reporter.onQueryTerminated(Event)
+    assert reported == [5, 9, 9] and found.state == "stopped"
+    found.count("streaming_messages", 3, table='o"d', operation="insert")
+    server = status.serve(found)
+    get = lambda path: urllib.request.urlopen(f"http://127.0.0.1:{server.server_port}{path}").read().decode()
+    assert get("/state") == "stopped"
+    assert 'streaming_messages{operation="insert",table="o\\"d"} 3' in get("/metrics") and "committed_position 9" in get("/metrics")
+    for path, code in (("/api/x", 501), ("/y", 404)):
+        with pytest.raises(urllib.error.HTTPError) as e:
+            get(path)
+        assert e.value.code == code
+    server.shutdown()
+
+
+def test_engine_reports_what_is_committed(spark, tmp_path):
+    import time
+
+    from quillview.plans import demo
+    from quillview.streaming.status import Status
+
+    demo.order_changes(spark, SF, "I").filter("seq <= 50").coalesce(1).write.parquet(str(tmp_path / "log"))
+    found, reported = Status(), []
+    options = engine.Options("shop", "pub", str(tmp_path / "v"))
+    engine.run(spark, demo.config(), options, "stream", changes=changelog.stream(spark, str(tmp_path / "log")), status=found, report=reported.append).awaitTermination()
+    until = time.time() + 60
+    while found.state != "stopped" and time.time() < until:
+        time.sleep(0.2)
+    assert reported[-1:] == [50] and found.state == "stopped"
+    assert ("streaming_messages", {"table": "orders", "operation": "insert"}, 50.0) in found.rows()
+
+
+def test_mappings_are_checked():
+    from quillview.plans import reads
+
+    found = reads.index_mapping('{"mappings": {"properties": {"a": {"type": "nested", "properties": {"b": {"type": "long", "index": false}}}, "j": {"type": "join", "relations": {"p": ["c", "d"]}}}}}')
+    assert not found["a"].members["b"].searched and found["j"].relations == {"p": ["c", "d"]}
+    with pytest.raises(ValueError, match="geo"):
+        reads.index_mapping('{"mappings": {"properties": {"a": {"type": "geo"}}}}')
